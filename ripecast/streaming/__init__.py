@@ -1,0 +1 @@
+"""Intentionally empty: the workload is daily batches over a DATE column, with no stream, watermark or late data."""
