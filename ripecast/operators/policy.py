@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Sequence
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
@@ -146,6 +146,20 @@ def choose(scored: DataFrame) -> DataFrame:
     return grouped.select(*K.KEYS, *_policy_columns(F.col("_best")))
 
 
+def choose_by_rank(scored: DataFrame) -> DataFrame:
+    """The same choice through a ranking window, which Spark cuts to one row per group before the shuffle."""
+    revenue = F.col("cand_effective_price") * F.col("pred_units")
+    w = Window.partitionBy(*K.KEYS).orderBy(revenue.desc_nulls_last(), "cand_discount_pct")
+    best = scored.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1)
+    return best.select(
+        *K.KEYS,
+        F.col("cand_discount_pct").alias("policy_discount_pct"),
+        F.col("cand_effective_price").alias("policy_effective_price"),
+        F.col("pred_units").alias("pred_units_policy"),
+        revenue.alias("policy_revenue"),
+    )
+
+
 def baseline(frame: DataFrame, scorer: Scorer) -> DataFrame:
     """Prediction and revenue at today's price."""
     rows = frame.select(*K.KEYS, *FRAME_FEATURES, "baseline_discount_pct", "baseline_effective_price")

@@ -2,29 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import cached_property
+from collections.abc import Callable, Mapping, Sequence
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ripecast import constants as K
-from ripecast.operators import kpis, policy
+from ripecast.operators import kpis, policy, quality
 from ripecast.operators.series import MAX_SERIES_ROWS
-from ripecast.plans import dims, fact, features, staging
-from ripecast.sources.deliveries import RAW_TABLES, read_raw
+from ripecast.plans import contracts, dims, fact, features, staging
+from ripecast.sources.deliveries import read_raw
 from ripecast.sources.sample_retail import SPLIT, SampleRetail
 
 
 class Warehouse:
-    """``max_rows=None`` states that sales are unique per (date, store, item), so no series needs splitting."""
+    """``raw`` returns a raw table by name. ``max_rows=None`` states that sales are unique per (date, store, item), so no series needs splitting."""
 
     def __init__(
         self,
-        raw: Mapping[str, DataFrame],
+        raw: Callable[[str], DataFrame],
         split: Mapping[str, object] | None = None,
         max_rows: int | None = MAX_SERIES_ROWS,
+        name: str = "",
     ):
-        self.raw = raw
+        self.name = name
+        self.raw = cache(raw)
         self.split = dict(split or {})
         self.max_rows = max_rows
 
@@ -32,15 +34,15 @@ class Warehouse:
     def from_sample(cls, spark: SparkSession, folder: str) -> Warehouse:
         """Over the sample star schema; its sales come from a group-by on the grain."""
         source = SampleRetail(spark, folder)
-        return cls({t: getattr(source, t)() for t in RAW_TABLES}, SPLIT, max_rows=None)
+        return cls(lambda table: getattr(source, table)(), SPLIT, max_rows=None, name=folder)
 
     @classmethod
     def from_raw_zone(cls, spark: SparkSession, raw: str, ingest_date: str, **options) -> Warehouse:
         """Over one dated snapshot of CSV deliveries."""
-        return cls({t: read_raw(spark, raw, t, ingest_date) for t in RAW_TABLES}, **options)
+        return cls(lambda table: read_raw(spark, raw, table, ingest_date), **options)
 
     def native(self, table: str) -> DataFrame:
-        return staging.NATIVE[table](self.raw[table])
+        return staging.NATIVE[table](self.raw(table))
 
     @cached_property
     def stg_sales(self) -> DataFrame:
@@ -134,3 +136,9 @@ class Warehouse:
             "kpi_by_expiry": kpis.by_expiry(evaluation),
             "kpi_discount_dist": kpis.discount_distribution(evaluation),
         }
+
+    def report(self) -> DataFrame:
+        """Failure counts of every contract check."""
+        checks = contracts.contracts()
+        tables = {t: self.fact if t == "fct_sales_features" else getattr(self, t) for t in checks}
+        return quality.report(tables, checks)
