@@ -322,7 +322,7 @@ def _(w):
 
 @query("join_calendar", "oil_days raw_oil", "SELECT date, dcoilwtico AS dcoil_raw FROM oil_days LEFT JOIN raw_oil USING (date)")
 def _(w):
-    spine = dims.oil_spine(w.int_sales, w.stg_oil_prices)
+    spine = dims.oil_spine(w.sale_days, w.stg_oil_prices)
     return lookup.lookup(spine, w.stg_oil_prices, "date", "dcoil_raw")
 
 
@@ -533,7 +533,7 @@ def _(w):
 
 @query("win_ffill", "oil", f"SELECT date, {r6('dcoil')} AS dcoil FROM oil")
 def _(w):
-    spine = dims.oil_spine(w.int_sales, w.stg_oil_prices)
+    spine = dims.oil_spine(w.sale_days, w.stg_oil_prices)
     joined = spine.join(one_row_per_day(w.stg_oil_prices, "dcoil_raw"), "date", "left")
     return joined.select("date", forward_fill("dcoil_raw", by_day()).alias("dcoil"))
 
@@ -579,8 +579,10 @@ query("win_promo_recency", "lagged", f"SELECT {o.KEYS}, promo_in_last_7d FROM la
 
 @query("win_series_split", "lagged", f"SELECT {o.CLEAN}, {o.LAGS}, promo_in_last_7d FROM lagged WHERE nth > 28")
 def _(w):
-    """The lag features with every series of more than 40 rows cut into chunks, as done for hot series."""
-    return features.features_enriched(features.features_clean(w.fact), max_rows=40)
+    """The lag features with every series of more than 64 rows cut into chunks, as done for hot series."""
+    narrow = fact.priced_sales(w.int_sales, w.dim_items)
+    with_cluster = lookup.lookup(narrow, w.dim_stores, "store_nbr", "cluster")
+    return features.features_enriched(features.features_clean(with_cluster), max_rows=64)
 
 
 @query("win_argmax", "choice", f"SELECT {o.CHOICE} FROM choice")
@@ -627,7 +629,7 @@ def _(w):
 
 @query("oil_spine", "oil_days", "SELECT date FROM oil_days")
 def _(w):
-    return dims.oil_spine(w.int_sales, w.stg_oil_prices)
+    return dims.oil_spine(w.sale_days, w.stg_oil_prices)
 
 
 query("int_oil", "oil", f"SELECT date, {o.OIL} FROM oil")(lambda w: w.int_oil_prices)

@@ -23,9 +23,11 @@ class Warehouse:
         raw: Callable[[str], DataFrame],
         split: Mapping[str, object] | None = None,
         max_rows: int | None = MAX_SERIES_ROWS,
+        sale_days: Callable[[], DataFrame] | None = None,
         name: str = "",
     ):
         self.name = name
+        self._sale_days = sale_days
         self.raw = cache(raw)
         self.split = dict(split or {})
         self.max_rows = max_rows
@@ -34,7 +36,7 @@ class Warehouse:
     def from_sample(cls, spark: SparkSession, folder: str) -> Warehouse:
         """Over the sample star schema; its sales come from a group-by on the grain."""
         source = SampleRetail(spark, folder)
-        return cls(lambda table: getattr(source, table)(), SPLIT, max_rows=None, name=folder)
+        return cls(lambda table: getattr(source, table)(), SPLIT, None, source.sale_days, folder)
 
     @classmethod
     def from_raw_zone(cls, spark: SparkSession, raw: str, ingest_date: str, **options) -> Warehouse:
@@ -68,13 +70,18 @@ class Warehouse:
     def int_sales(self) -> DataFrame:
         return dims.int_sales(self.stg_sales)
 
+    @cached_property
+    def sale_days(self) -> DataFrame:
+        """Any table whose dates span the sales; the cleaned sales unless the source knows a cheaper one."""
+        return self._sale_days() if self._sale_days else self.int_sales
+
     @cached_property
     def int_items(self) -> DataFrame:
         return dims.int_items(self.stg_items)
 
     @cached_property
     def int_oil_prices(self) -> DataFrame:
-        return dims.int_oil_prices(self.int_sales, self.stg_oil_prices)
+        return dims.int_oil_prices(self.sale_days, self.stg_oil_prices)
 
     @cached_property
     def int_holidays(self) -> DataFrame:

@@ -25,6 +25,22 @@ FAMILIES = [
     "CLEANING",
 ]
 STORE_TYPES = ["A", "B", "C", "D", "E"]
+# the columns in use; a declared schema saves a footer read per table
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "part": "p_partkey BIGINT, p_brand STRING",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+        "o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_discount DOUBLE, l_returnflag STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+}
 SPLIT = dict(max_date="2001-11-04", valid_days=360, test_days=180)
 
 
@@ -36,14 +52,14 @@ class SampleRetail:
         self.folder = folder
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
 
     def _item_of_part(self) -> DataFrame:
         number = F.element_at(F.split("p_brand", "#"), 2).cast("long")
         return self._read("part").select("p_partkey", number.alias("item_nbr"))
 
-    def sales(self) -> DataFrame:
-        """One row per (date, store, item): returned lines count negative, the largest line discount sets the promo."""
+    def _lines(self) -> DataFrame:
+        """Order lines with their store and item."""
         lines = self._read("lineitem").select(
             F.col("l_shipdate").cast("date").alias("date"),
             "l_partkey",
@@ -52,9 +68,18 @@ class SampleRetail:
             "l_discount",
         )
         stores = self._read("supplier").select("s_suppkey", F.col("s_nationkey").cast("long").alias("store_nbr"))
+        return lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey")).join(
+            self._item_of_part(), F.col("l_partkey") == F.col("p_partkey")
+        )
+
+    def sale_days(self) -> DataFrame:
+        """Dates with sales, once per order line: enough for the first and last day, without grouping."""
+        return self._lines().select("date")
+
+    def sales(self) -> DataFrame:
+        """One row per (date, store, item): returned lines count negative, the largest line discount sets the promo."""
         grouped = (
-            lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self._item_of_part(), F.col("l_partkey") == F.col("p_partkey"))
+            self._lines()
             .groupBy("date", "store_nbr", "item_nbr")
             .agg(F.sum("units").alias("units"), F.max("l_discount").alias("discount"))
         )
