@@ -41,17 +41,19 @@ def series_columns(
     """Add window columns per series, and keep only rows with more than ``min_history`` rows up to and including them.
 
     ``columns`` maps a window to named expressions; none may look back more than ``lookback`` rows or look ahead.
-    ``ties`` orders rows that share a date. ``max_rows=None`` states that the caller's grain bounds every series.
+    ``ties`` tells rows of a series that share a date apart; such rows are ordered by the hash of ``ties``, then by
+    ``ties``. ``max_rows=None`` states that the caller's grain is unique, which bounds every series.
     """
     if min_history is not None and min_history > lookback:
         raise ValueError("min_history must not exceed lookback")
     if max_rows is None:
-        return _plain(df, keys, order, columns, min_history, ties)
+        return _plain(df, keys, columns, min_history, [order])
 
+    by = [order, _spread(ties), *ties]
     hot = _hot_series(df, keys, max_rows)
     n_hot = hot.count()
     if n_hot == 0:
-        return _plain(df, keys, order, columns, min_history, ties)
+        return _plain(df, keys, columns, min_history, by)
 
     # one small row per hot series; broadcast only after its size is known, else left to AQE
     names = [f"_hot_{k}" for k in keys]
@@ -61,7 +63,7 @@ def series_columns(
     match = _same(df, hot, list(zip(keys, names)))
     cold_rows = df.join(hot, match, "left_anti")
     hot_rows = df.join(hot, match, "left_semi")
-    return _plain(cold_rows, keys, order, columns, min_history, ties).unionByName(
+    return _plain(cold_rows, keys, columns, min_history, by).unionByName(
         _chunked(hot_rows, keys, order, lookback, columns, min_history, ties, max_rows)
     )
 
@@ -71,15 +73,19 @@ def _hot_series(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame:
     return counts.where(F.col("_n") > max_rows).select(*keys)
 
 
+def _spread(ties: Sequence[str]) -> Column:
+    """Block number that spreads the rows of one date over many small groups."""
+    return F.pmod(F.xxhash64(*ties), F.lit(BLOCKS_PER_DATE)) if ties else F.lit(0)
+
+
 def _plain(
     df: DataFrame,
     keys: Sequence[str],
-    order: str,
     columns: WindowColumns,
     min_history: int | None,
-    ties: Sequence[str],
+    by: Sequence[str | Column],
 ) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order, *ties)
+    w = Window.partitionBy(*keys).orderBy(*by)
     added = columns(w)
     if min_history is None:
         return df.withColumns(added)
@@ -107,8 +113,8 @@ def _chunked(
     kept = F.least(F.col("_copies"), F.lit(lookback + 1))
 
     # Number the rows without sorting a series in one task: count per block of (series, date, hash), add up the
-    # counts of earlier blocks, then number within a block. The block only spreads rows that share a date.
-    copies = copies.withColumn("_block", F.pmod(F.xxhash64(*rest), F.lit(BLOCKS_PER_DATE)) if rest else F.lit(0))
+    # counts of earlier blocks, then number within a block.
+    copies = copies.withColumn("_block", _spread(ties))
     block = [*keys, order, "_block"]
     sizes = copies.groupBy(*block).agg(F.sum(kept).alias("_size"))
     earlier = Window.partitionBy(*keys).orderBy(order, "_block").rowsBetween(Window.unboundedPreceding, -1)
