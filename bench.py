@@ -43,6 +43,7 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="64k",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
     )
     spark.sparkContext.setLogLevel("ERROR")

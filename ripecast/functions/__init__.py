@@ -1,6 +1,7 @@
 from ripecast.functions.aggregates import safe_corr, uplift
 from ripecast.functions.scalars import (
     base_price,
+    by_family,
     clean_family,
     clip_units,
     discount_ladder,
@@ -22,6 +23,7 @@ from ripecast.functions.scalars import (
 
 __all__ = [
     "base_price",
+    "by_family",
     "clean_family",
     "clip_units",
     "discount_ladder",

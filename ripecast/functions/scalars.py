@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,16 +64,20 @@ def base_price(item: Column, low: Column, high: Column) -> Column:
     return money_round(low + place * (high - low))
 
 
+def by_family(values: Mapping[str, object], family: Column) -> Column:
+    """Look a family up in a small fixed table; NULL when it is not listed."""
+    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    return F.when(family.isNotNull(), F.try_element_at(table, family))
+
+
 def shelf_life(family: Column) -> Column:
     """Shelf life in days."""
-    days = F.create_map(*[F.lit(x) for pair in K.SHELF_LIFE_DAYS.items() for x in pair])
-    known = F.when(family.isNotNull(), F.try_element_at(days, family))
-    return F.coalesce(known, F.lit(K.SHELF_LIFE_DEFAULT)).cast("long")
+    return F.coalesce(by_family(K.SHELF_LIFE_DAYS, family), F.lit(K.SHELF_LIFE_DEFAULT)).cast("long")
 
 
-def stock_age(store: Column, item: Column, date: Column, life: Column) -> Column:
-    """Days since stocking, 0 to the shelf life, derived from the row's own key."""
-    return F.pmod(stable_hash(store, item, date), life + F.lit(1))
+def stock_age(key_hash: Column, life: Column) -> Column:
+    """Days since stocking, 0 to the shelf life, derived from the hash of the row's own key."""
+    return F.pmod(key_hash, life + F.lit(1))
 
 
 def time_to_expiry(life: Column, age: Column) -> Column:

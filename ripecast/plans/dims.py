@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
-from ripecast.functions import base_price, clip_units, log_units, perishable_flag
+from ripecast.functions import base_price, by_family, clip_units, log_units, perishable_flag
 from ripecast.operators.series import MAX_SERIES_ROWS, series_columns
 from ripecast.operators.timeseries import (
     by_day,
@@ -57,10 +57,11 @@ def int_base_price(stg: DataFrame) -> DataFrame:
 
 
 def item_with_price(items: DataFrame) -> DataFrame:
-    """Items with their price. The price depends on the row's own item and family, so no join back is needed;
-    bands are upper case, so a family in other case has no price."""
-    price = base_price(F.col("item_nbr"), F.col("p_min"), F.col("p_max"))
-    return with_price_band(items).select("item_nbr", "family", "class", "perishable_bool", price.alias("base_price"))
+    """Items with their price. The price depends on the row's own item and family, so nothing is joined; bands are
+    upper case, so a family in other case has no price."""
+    low, high = (by_family({band[0]: band[i] for band in K.PRICE_BANDS}, F.col("family")) for i in (1, 2))
+    price = base_price(F.col("item_nbr"), low, high)
+    return items.select("item_nbr", "family", "class", "perishable_bool", price.alias("base_price"))
 
 
 def dim_items(items: DataFrame) -> DataFrame:

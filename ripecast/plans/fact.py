@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
-from ripecast.functions import discount_ladder, effective_price, shelf_life, stock_age, time_to_expiry
+from ripecast.functions import discount_ladder, effective_price, shelf_life, stable_hash, stock_age, time_to_expiry
 from ripecast.operators.lookup import keep_matching, lookup
 from ripecast.operators.series import MAX_SERIES_ROWS, series_columns
 from ripecast.operators.timeseries import trailing_mean
@@ -54,14 +54,14 @@ def with_calendar(df: DataFrame) -> DataFrame:
 
 
 def with_price_and_expiry(df: DataFrame) -> DataFrame:
-    """Shelf life, stock age, days left, markdown and today's price, all from the row itself."""
+    """Stock age, days left, markdown and today's price, from the row's shelf life, price and key hash."""
     life, age, left, markdown = (F.col(c) for c in ("shelf_life_days", "days_since_stock", "time_to_expiry", "discount_pct"))
     return (
-        df.withColumn("shelf_life_days", shelf_life(F.col("family")))
-        .withColumn("days_since_stock", stock_age(F.col("store_nbr"), F.col("item_nbr"), F.col("date"), life))
+        df.withColumn("days_since_stock", stock_age(F.col("_key_hash"), life))
         .withColumn("time_to_expiry", time_to_expiry(life, age))
         .withColumn("discount_pct", discount_ladder(left))
         .withColumn("effective_price", effective_price(F.col("base_price"), markdown))
+        .drop("_key_hash")
     )
 
 
@@ -86,9 +86,15 @@ def with_recent_units(sales: DataFrame, max_rows: int | None = MAX_SERIES_ROWS)
 
 
 def priced_sales(sales: DataFrame, dim_items: DataFrame) -> DataFrame:
-    """Perishable sales with item columns, calendar parts, price and expiry; row by row, one small join."""
-    priced = lookup(sales, perishable_items(dim_items), "item_nbr", "family", "class", "perishable_bool", "base_price", how="inner")
-    return with_price_and_expiry(with_calendar(priced))
+    """Perishable sales with item columns, calendar parts, price and expiry; row by row, one small join.
+
+    What depends on the item alone is computed on the dimension. The key hash is computed below the join, so that a
+    filter on price or expiry, which Catalyst pushes into the join, does not repeat it.
+    """
+    items = perishable_items(dim_items).withColumn("shelf_life_days", shelf_life(F.col("family")))
+    hashed = sales.withColumn("_key_hash", stable_hash(F.col("store_nbr"), F.col("item_nbr"), F.col("date")))
+    columns = ["family", "class", "perishable_bool", "base_price", "shelf_life_days"]
+    return with_price_and_expiry(with_calendar(lookup(hashed, items, "item_nbr", *columns, how="inner")))
 
 
 def fct_sales_features(

@@ -101,9 +101,10 @@ def features_from_sales(
     """Enriched features straight from cleaned sales, when the fact is not stored.
 
     Leaves out what features do not use (oil, store address, recent units) and turns ids into text after the window,
-    so the job has one shuffle of the rows it keeps.
+    so the job has one shuffle of the rows it keeps. A positive list price already makes today's price valid, since no
+    markdown exceeds the price; items without one leave with the dimension.
     """
-    priced = priced_sales(sales, dim_items).where(has_valid_price())
+    priced = priced_sales(sales, dim_items.where(F.col("base_price") > 0))
     narrow = priced.select(*[c for c in CLEAN_COLUMNS if c != "cluster"])
     enriched = features_enriched(narrow, max_rows)
     return ids_as_text(lookup(enriched, dim_stores, "store_nbr", "cluster")).select(*CLEAN_COLUMNS, *SERIES_FEATURES)

@@ -12,11 +12,11 @@ from ripecast.functions import clean_family, parse_bool
 
 
 def _strict(name: str, kind: str) -> Column:
-    return F.col(name).cast(kind).alias(name)
+    return F.expr(f"CAST({name} AS {kind}) AS {name}")
 
 
 def _lenient(name: str, kind: str) -> Column:
-    return F.col(name).try_cast(kind).alias(name)
+    return F.expr(f"TRY_CAST({name} AS {kind}) AS {name}")
 
 
 def native_sales(raw: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ def test_stock_age_and_expiry_stay_in_the_shelf_life(spark):
     df = spark.range(2000).select(
         (F.col("id") % 50).alias("s"), F.col("id").alias("i"), F.lit(dt.date(2017, 1, 1)).alias("d"), F.lit(5).alias("life")
     )
-    age = X.stock_age(F.col("s"), F.col("i"), F.col("d"), F.col("life"))
+    age = X.stock_age(X.stable_hash(F.col("s"), F.col("i"), F.col("d")), F.col("life"))
     seen = df.select(age.alias("a"), X.time_to_expiry(F.col("life"), age).alias("t")).distinct().collect()
     assert {r["a"] for r in seen} == set(range(6)) and all(r["a"] + r["t"] == 5 for r in seen)
 
