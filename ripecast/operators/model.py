@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -70,9 +71,17 @@ def train(
         F.col(K.LABEL).cast("double").alias(K.LABEL),
         (F.col("split") == "valid").alias("is_valid"),
     )
+    # several passes follow; a lost executor recomputes its part from the source
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(rows, {**PRESETS[preset], **overrides}, seed, early_stop)
+    finally:
+        rows.unpersist()
+
+
+def _fit(rows: DataFrame, params: dict, seed: int, early_stop: bool) -> PipelineModel:
     train_rows = rows.where(~F.col("is_valid"))
-    params = {**PRESETS[preset], **overrides}
-    params["maxBins"] = max(params.get("maxBins", 32), _category_limit(train_rows))
+    params = {**params, "maxBins": max(params.get("maxBins", 32), _category_limit(train_rows))}
 
     # the vocabulary comes from the train rows only; later categories take the unknown slot
     indexer = StringIndexer(
@@ -83,7 +92,7 @@ def train(
         labelCol=K.LABEL,
         predictionCol="predicted_unit_sales",
         seed=seed,
-        checkpointInterval=10 if checkpoint_dir(split.sparkSession) else -1,
+        checkpointInterval=10 if checkpoint_dir(rows.sparkSession) else -1,
         **params,
     )
     # an empty validation part would stop training at once

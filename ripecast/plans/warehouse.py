@@ -8,13 +8,28 @@ from functools import cache, cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ripecast import constants as K
+from ripecast import schemas
 from ripecast.operators import kpis, policy, quality
 from ripecast.operators.series import MAX_SERIES_ROWS
 from ripecast.plans import contracts, dims, fact, features, staging
+from ripecast.sources import tables
 from ripecast.sources.deliveries import read_raw
 from ripecast.sources.sample_retail import SPLIT, SampleRetail
 
 
+# Stored tables in build order, with partition column and sort keys inside a partition.
+LAYERS: list[tuple[str, str | None, list[str]]] = [
+    ("int_sales", "date", K.SERIES),
+    ("dim_items", None, ["item_nbr"]),
+    ("dim_stores", None, ["store_nbr"]),
+    ("dim_oil_prices", None, ["date"]),
+    ("dim_holidays", None, ["date"]),
+    ("fact", "date", K.SERIES),
+    ("features_split", "date", K.SERIES),
+    ("scoring_frame", "date", K.SERIES),
+]
+
+
 class Warehouse:
     """``raw`` returns a raw table by name. ``max_rows=None`` states that sales are unique per (date, store, item), so no series needs splitting."""
 
@@ -125,6 +140,34 @@ class Warehouse:
     def scoring_frame(self) -> DataFrame:
         return policy.scoring_frame(self.features_split)
 
+    def build(self, root: str) -> Warehouse:
+        """Store every layer under a shared folder and go on from the stored tables.
+
+        Each table is computed once; later layers scan it with pruned columns and partitions, and a job that loses
+        executors recomputes from the last stored table at most.
+        """
+        for name, partition, cluster in LAYERS:
+            table = tables.describe(getattr(self, name), contracts.COMMENTS)
+            path = f"{root}/{name}"
+            tables.write_table(table, path, partition, cluster)
+            self.__dict__[name] = tables.read_table(table.sparkSession, path, schemas.TABLES[name])
+            if name == "fact":
+                clean = features.features_clean(self.fact)
+                self.__dict__["features_enriched"] = features.features_enriched(clean, self.max_rows)
+        return self
+
+    def run_policy(self, scorer: policy.Scorer, root: str, **options) -> dict[str, DataFrame]:
+        """Store the evaluation by day, replacing only the days it covers, and the KPIs of the whole stored table."""
+        evaluation = self.policy_eval(scorer, **options)
+        path = f"{root}/policy_eval"
+        tables.write_slice(evaluation, path, "date", K.SERIES)
+        schema = f"{schemas.POLICY['eval']}, time_to_expiry BIGINT"
+        stored = tables.read_table(evaluation.sparkSession, path, schema)
+        results = self.kpis(stored)
+        for name, table in results.items():
+            tables.write_csv(table, f"{root}/{name}")
+        return {"policy_eval": stored, **results}
+
     def policy_eval(
         self,
         scorer: policy.Scorer,
@@ -147,5 +190,5 @@ class Warehouse:
     def report(self) -> DataFrame:
         """Failure counts of every contract check."""
         checks = contracts.contracts()
-        tables = {t: self.fact if t == "fct_sales_features" else getattr(self, t) for t in checks}
-        return quality.report(tables, checks)
+        frames = {t: self.fact if t == "fct_sales_features" else getattr(self, t) for t in checks}
+        return quality.report(frames, checks)

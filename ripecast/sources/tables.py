@@ -26,6 +26,12 @@ def write_table(df: DataFrame, path: str, partition: str | None = "date", cluste
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table in its declared column order; the declared schema saves reading footers."""
+    table = spark.read.schema(schema).parquet(path)
+    return table.select(*[f.name for f in empty(spark, schema).schema])
+
+
 def write_slice(df: DataFrame, path: str, partition: str = "date", cluster: Sequence[str] = ()) -> None:
     """Replace only the partitions that occur in ``df``; writing the same slice twice leaves it once."""
     writer = laid_out(df, partition, cluster).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
+from ripecast import schemas
+from ripecast.operators import policy
 from ripecast.operators.policy import EVAL_COLUMNS
 from ripecast.plans.contracts import COMMENTS
 from ripecast.plans.warehouse import Warehouse
@@ -127,14 +129,67 @@ def test_views_tables_schemas_and_descriptions(spark):
 
 
 def test_empty_typed_tables(spark):
-    schema = ", ".join(
-        f"{c} {'date' if c == 'date' else 'string' if c in K.KEYS else 'double'}" for c in EVAL_COLUMNS
-    )
-    none = tables.empty(spark, schema)
+    none = tables.empty(spark, schemas.POLICY["eval"])
     assert none.columns == EVAL_COLUMNS and none.count() == 0
     assert tables.documented(none.schema, COMMENTS)["date"].metadata == {"comment": COMMENTS["date"]}
 
 
+def layout(df):
+    return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
+def test_tables_have_their_declared_schemas(spark, sample):
+    w = Warehouse.from_sample(spark, sample)
+    for name, ddl in schemas.TABLES.items():
+        assert layout(getattr(w, name)) == layout(tables.empty(spark, ddl)), name
+    for name, ddl in schemas.NATIVE.items():
+        assert layout(w.native(name)) == layout(tables.empty(spark, ddl)), name
+    scored = policy.score_candidates(policy.candidates(w.scoring_frame), policy.FormulaScorer())
+    assert layout(scored) == layout(tables.empty(spark, schemas.POLICY["candidates"]))
+    assert layout(policy.choose(scored)) == layout(tables.empty(spark, schemas.POLICY["choice"]))
+    swept = policy.sweep(w.scoring_frame, policy.FormulaScorer())
+    assert layout(swept) == layout(tables.empty(spark, schemas.POLICY["eval"]))
+
+
+def small_raw(spark):
+    """Sixty days of six series, all text."""
+    sales = spark.range(360).select(
+        F.col("id").cast("string").alias("id"),
+        F.date_add(F.lit(dt.date(2017, 6, 17)), F.floor(F.col("id") / 6).cast("int")).cast("string").alias("date"),
+        (F.col("id") % 2 + 1).cast("string").alias("store_nbr"),
+        (F.col("id") % 3 + 1).cast("string").alias("item_nbr"),
+        F.when(F.col("id") % 5 == 0, "True").alias("onpromotion"),
+        (F.pmod(F.xxhash64("id"), F.lit(30)) - 2).cast("string").alias("unit_sales"),
+    )
+    rows = {
+        "items": ([("1", "DAIRY", "1", "1"), ("2", "BREAD/BAKERY", "2", "1"), ("3", "TOYS", "3", "0")], "item_nbr string, family string, class string, perishable string"),
+        "stores": ([("1", "Quito", "P", "D", "13"), ("2", "Loja", "L", "A", "4")], "store_nbr string, city string, state string, type string, cluster string"),
+        "oil_prices": ([("2017-06-20", "50.0")], "date string, dcoilwtico string"),
+        "holidays": ([("2017-06-20", "Holiday", "National", "E", "N", "False")], "date string, type string, locale string, locale_name string, description string, transferred string"),
+        "transactions": ([("2017-06-20", "1", "9")], "date string, store_nbr string, transactions string"),
+    }
+    frames = {t: spark.createDataFrame(*r) for t, r in rows.items()} | {"sales": sales}
+    return frames.__getitem__
+
+
+def test_stored_layers_give_the_same_results(spark, tmp_path):
+    root = str(tmp_path)
+    lazy, scorer = Warehouse(small_raw(spark)), policy.FormulaScorer()
+    built = Warehouse(small_raw(spark)).build(root)
+    for name in ("fact", "features_split", "scoring_frame"):
+        left, right = getattr(lazy, name), getattr(built, name)
+        assert left.columns == right.columns and left.count() > 0
+        assert sorted(map(str, left.collect())) == sorted(map(str, right.collect())), name
+    assert built.report().where("failures > 0").count() == lazy.report().where("failures > 0").count()
+    want = sorted(map(str, lazy.policy_eval(scorer).collect()))
+    built.run_policy(scorer, root, end="2017-08-07")
+    for _ in range(2):
+        results = built.run_policy(scorer, root, start="2017-08-05")
+    assert sorted(map(str, results["policy_eval"].collect())) == want
+    assert results["kpi_overall"].first().n_rows == len(want)
+    assert deliveries.read_csv(spark, f"{root}/kpi_by_date").columns == ["date", "baseline_rev", "policy_rev", "uplift_pct"]
+
+
 def test_bucketed_series_need_no_shuffle(spark):
     rows = spark.range(200).select(
         (F.col("id") % 5).alias("store_nbr"),
