@@ -64,15 +64,16 @@ def base_price(item: Column, low: Column, high: Column) -> Column:
     return money_round(low + place * (high - low))
 
 
-def by_family(values: Mapping[str, object], family: Column) -> Column:
-    """Look a family up in a small fixed table; NULL when it is not listed."""
-    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+def by_family(values: Mapping[str, float], family: Column) -> Column:
+    """Look a family up in a small fixed table of numbers; NULL when it is not listed."""
+    table = F.expr("map(" + ", ".join(f"'{name}', {value}D" for name, value in values.items()) + ")")
     return F.when(family.isNotNull(), F.try_element_at(table, family))
 
 
 def shelf_life(family: Column) -> Column:
     """Shelf life in days."""
-    return F.coalesce(by_family(K.SHELF_LIFE_DAYS, family), F.lit(K.SHELF_LIFE_DEFAULT)).cast("long")
+    days = by_family(K.SHELF_LIFE_DAYS, family).cast("long")
+    return F.coalesce(days, F.lit(K.SHELF_LIFE_DEFAULT))
 
 
 def stock_age(key_hash: Column, life: Column) -> Column:

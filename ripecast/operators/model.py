@@ -158,8 +158,13 @@ class ModelScorer:
         return df.drop(*[c for c in df.columns if c.startswith(("_in_", "_cat_"))])
 
 
-def metrics(scored: DataFrame, label: str = K.LABEL, prediction: str = "predicted_unit_sales") -> DataFrame:
-    """Regression metrics in one pass. Squared logs are taken of values clamped at zero."""
+def metrics(
+    scored: DataFrame, label: str = K.LABEL, prediction: str = "predicted_unit_sales", accuracy: int = 1_000_000
+) -> DataFrame:
+    """Regression metrics in one pass. Squared logs are taken of values clamped at zero.
+
+    The median comes from a sketch bounded by ``accuracy``: exact up to that many rows, within one part of it beyond.
+    """
     y, p = F.col(label), F.col(prediction)
     rows = scored.where(y.isNotNull() & p.isNotNull())
     error = y - p
@@ -171,7 +176,7 @@ def metrics(scored: DataFrame, label: str = K.LABEL, prediction: str = "predicte
         mse.alias("mean_squared_error"),
         F.sqrt(mse).alias("root_mean_squared_error"),
         F.avg(log_error * log_error).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(error), 0.5, 10_000).alias("median_absolute_error"),
+        F.percentile_approx(F.abs(error), 0.5, accuracy).alias("median_absolute_error"),
         (F.lit(1.0) - F.try_divide(mse, F.var_pop(y))).alias("r2_score"),
         (F.lit(1.0) - F.try_divide(F.var_pop(error), F.var_pop(y))).alias("explained_variance"),
     )

@@ -46,9 +46,9 @@ def with_calendar(df: DataFrame) -> DataFrame:
     """Day of week (1 is Sunday), month and year."""
     return df.withColumns(
         {
-            "dow": F.dayofweek("date").cast("long"),
-            "month": F.month("date").cast("long"),
-            "year": F.year("date").cast("long"),
+            "dow": F.expr("CAST(dayofweek(date) AS BIGINT)"),
+            "month": F.expr("CAST(month(date) AS BIGINT)"),
+            "year": F.expr("CAST(year(date) AS BIGINT)"),
         }
     )
 

@@ -156,6 +156,13 @@ class Warehouse:
                 self.__dict__["features_enriched"] = features.features_enriched(clean, self.max_rows)
         return self
 
+    def publish(self, prefix: str = "") -> None:
+        """Expose the tables as views for ``spark.sql``."""
+        for name in ("stg_sales", "stg_items", "stg_stores", "stg_oil_prices", "stg_holidays", "features_enriched"):
+            tables.publish(getattr(self, name), f"{prefix}{name}")
+        for name, _, _ in LAYERS:
+            tables.publish(getattr(self, name), f"{prefix}{'fct_sales_features' if name == 'fact' else name}")
+
     def run_policy(self, scorer: policy.Scorer, root: str, **options) -> dict[str, DataFrame]:
         """Store the evaluation by day, replacing only the days it covers, and the KPIs of the whole stored table."""
         evaluation = self.policy_eval(scorer, **options)

@@ -35,4 +35,8 @@ def build_session(app: str = "ripecast", master: str | None = None, **conf: str)
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster, or None when it names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if named and not context.getCheckpointDir():
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()

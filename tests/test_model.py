@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from ripecast import constants as K
 from ripecast.operators import lookup, model, policy
 from ripecast.plans.warehouse import Warehouse
+from ripecast.session import checkpoint_dir
 
 SMALL = dict(maxIter=4, maxDepth=4)
 
@@ -78,6 +79,10 @@ def test_policy_with_a_model(split, fitted):
     assert scored.join(swept, K.KEYS).where(revenue > F.col("policy_revenue")).count() == 0
 
 
+def test_checkpoints_go_to_the_named_folder(spark):
+    assert checkpoint_dir(spark).startswith(("file:", "/")) and "checkpoints" in checkpoint_dir(spark)
+
+
 def test_presets_train(split):
     for preset in model.PRESETS:
         assert model.train(split, preset, maxIter=1, maxDepth=2).stages[-1].getNumTrees == 1

@@ -72,6 +72,8 @@ def test_csv_to_fact(spark, zones):
     assert [r["class"] for r in w.dim_items.orderBy("item_nbr").collect()] == [1001, None]
     assert w.features_split.count() == 0 and w.scoring_frame.count() == 0
     assert w.tx_signals.where("transactions IS NULL").count() == 1
+    w.publish("csv_")
+    assert spark.sql("SELECT sum(unit_sales) FROM csv_fct_sales_features WHERE family = 'BREAD_BAKERY'").first()[0] == 5.0
 
 
 def daily(spark, *rows):
