@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import mixing, quality_rules, sharding
+from ripecast.llm import mixing, pii, quality_rules, sharding
 from ripecast.llm.common import read
 
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -35,7 +35,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in pii.PATTERNS],
+        F.sha2(pii.spelled(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
+    "op10_pii": op10_pii,
     "op3_mix": op3_mix,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
@@ -111,3 +123,68 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
        fail_bits = 0 AS kept, fail_bits
 FROM b
 """
+
+SQL["op10_pii"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+kinds AS (
+  SELECT * FROM (VALUES
+    (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+    (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+    (3, 'card', '[0-9]([ -]?[0-9])+'),
+    (4, 'phone', '\+[0-9][ ().0-9-]+[0-9]')) t(k, kind, pattern)),
+raw AS (
+  SELECT rid, 1 AS k, string_split_regex(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS p, regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS m FROM docs
+  UNION ALL SELECT rid, 2, string_split_regex(text, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), regexp_extract_all(text, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') FROM docs
+  UNION ALL SELECT rid, 3, string_split_regex(text, '[0-9]([ -]?[0-9])+'), regexp_extract_all(text, '[0-9]([ -]?[0-9])+') FROM docs
+  UNION ALL SELECT rid, 4, string_split_regex(text, '\+[0-9][ ().0-9-]+[0-9]'), regexp_extract_all(text, '\+[0-9][ ().0-9-]+[0-9]') FROM docs),
+matched AS (SELECT rid, k, i, m[i] AS value, length(p[i]) AS gap FROM (SELECT rid, k, p, m, unnest(range(1, len(m) + 1)) AS i FROM raw)),
+placed AS (
+  SELECT rid, k, value, regexp_replace(value, '[^0-9]', '', 'g') AS digits,
+         (sum(gap + length(value)) OVER (PARTITION BY rid, k ORDER BY i))::BIGINT AS e
+  FROM matched),
+luhn AS (
+  SELECT value, sum(CASE WHEN j % 2 = 0 THEN CASE WHEN d > 4 THEN 2 * d - 9 ELSE 2 * d END ELSE d END) % 10 = 0 AS good
+  FROM (SELECT value, j, substr(reverse(digits), j, 1)::INT AS d
+        FROM (SELECT value, digits, unnest(range(1, length(digits) + 1)) AS j
+              FROM (SELECT DISTINCT value, digits FROM placed WHERE k = 3 AND length(digits) BETWEEN 13 AND 19)))
+  GROUP BY value),
+base AS (
+  SELECT rid, p.k, kind, p.value, e - length(p.value) AS s, e,
+         kind || ':' || CASE p.k WHEN 1 THEN lower(p.value) WHEN 2 THEN p.value ELSE digits END AS entity
+  FROM placed p JOIN kinds USING (k) LEFT JOIN luhn ON p.k = 3 AND p.value = luhn.value
+  WHERE CASE p.k WHEN 1 THEN true
+                 WHEN 2 THEN len(list_filter(string_split(p.value, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(ltrim(x, '0') AS INT), 0) > 255)) = 0
+                 WHEN 3 THEN coalesce(good, false)
+                 ELSE length(digits) BETWEEN 9 AND 15 END),
+occurs AS (SELECT DISTINCT rid, text, entity FROM base JOIN docs USING (rid)),
+protected AS (SELECT entity, count(*) AS n_e FROM occurs GROUP BY entity HAVING count(DISTINCT text) >= 3),
+own AS (SELECT rid, text, entity, n_e FROM occurs JOIN protected USING (entity)),
+words AS (
+  SELECT rid, i, lower(m[i]) AS term, length(m[i]) AS n, length(p[i]) AS gap
+  FROM (SELECT rid, p, m, unnest(range(1, len(m) + 1)) AS i
+        FROM (SELECT rid, string_split_regex(text, '\p{L}{3,}') AS p, regexp_extract_all(text, '\p{L}{3,}') AS m FROM docs))),
+counts AS (SELECT term, count(DISTINCT rid) AS n_t FROM words GROUP BY term),
+spots AS (
+  SELECT rid, term, e - n AS s, e
+  FROM (SELECT rid, term, n, (sum(gap + n) OVER (PARTITION BY rid ORDER BY i))::BIGINT AS e FROM words WHERE rid IN (SELECT rid FROM own)) w
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = w.rid AND b.s < w.e AND w.e - w.n < b.e)),
+met AS (
+  SELECT entity, n_e, term, count(DISTINCT rid) AS n_te FROM own JOIN spots USING (rid)
+  GROUP BY entity, n_e, term HAVING count(DISTINCT text) >= 3),
+scored AS (
+  SELECT entity, term, ln(n * n_te / (n_t * n_e)) / ln(n / n_e) AS ratio
+  FROM met JOIN counts USING (term), (SELECT count(*)::DOUBLE AS n FROM docs) WHERE n_e < n),
+added AS (
+  SELECT rid, CASE WHEN max(ratio) >= 0.97 THEN 5 ELSE 6 END AS k, s, e
+  FROM own JOIN spots USING (rid) JOIN scored USING (entity, term) WHERE ratio >= 0.9 GROUP BY rid, term, s, e),
+spelled AS (
+  SELECT rid, k, s, kind || ':' || s || ':' || e AS span FROM base
+  UNION ALL SELECT rid, k, s, CASE k WHEN 5 THEN 'term' ELSE 'hint' END || ':' || s || ':' || e FROM added),
+joined AS (
+  SELECT rid, string_agg(span, ',' ORDER BY k, s) FILTER (k < 5) AS base, string_agg(span, ',' ORDER BY k, s) AS spans,
+         count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, count(*) FILTER (k = 3) AS n3, count(*) FILTER (k = 4) AS n4
+  FROM spelled GROUP BY rid)
+SELECT doc_id, coalesce(n1, 0)::BIGINT AS n_email, coalesce(n2, 0)::BIGINT AS n_ip, coalesce(n3, 0)::BIGINT AS n_card,
+       coalesce(n4, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (rid)
+"""
