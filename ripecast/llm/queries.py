@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import mixing, pii, quality_rules, sharding
+from ripecast.llm import bpe, mixing, pii, quality_rules, sharding
 from ripecast.llm.common import read
 
+TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
 
@@ -35,6 +37,17 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, TOKENIZER, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return bpe.decode(coded, TOKENIZER).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
@@ -47,6 +60,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
     "op3_mix": op3_mix,
     "op5_quality_rules": op5_quality_rules,
