@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import bpe, mixing, pii, quality_rules, sharding
-from ripecast.llm.common import read
+from ripecast.llm import bpe, mixing, pii, quality_rules, sharding, warc
+from ripecast.llm.common import read, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
@@ -37,6 +37,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    index = warc.write(read(spark, sf_dir, "pages"), folder)
+    return warc.fetch(index, folder).select(
+        F.when(F.col("id") != "none", F.col("id").cast("bigint")).alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, TOKENIZER, public_tokenizers.PATTERN).select("doc_id", "ids")
@@ -60,6 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_warc": op7_warc,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
     "op3_mix": op3_mix,
@@ -202,3 +215,19 @@ SELECT doc_id, coalesce(n1, 0)::BIGINT AS n_email, coalesce(n2, 0)::BIGINT AS n_
        coalesce(n4, 0)::BIGINT AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs LEFT JOIN joined USING (rid)
 """
+
+SQL["op7_warc"] = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS hex FROM p),
+l AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last FROM d),
+b AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (bits >> shift) % 32 + 1, 1), '' ORDER BY k, shift DESC) AS digest
+  FROM (SELECT hex, k, ('0x' || substr(hex, 5 * k + 1, 5))::INT AS bits
+        FROM (SELECT DISTINCT hex FROM d), (SELECT unnest(range(0, 8)) AS k)),
+       (SELECT unnest([0, 5, 10, 15]) AS shift)
+  GROUP BY hex)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM l JOIN b USING (hex)
+"""
