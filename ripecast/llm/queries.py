@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import bpe, mixing, pii, quality_rules, sharding, warc
+from ripecast.llm import bpe, compress_quality, mixing, pii, quality_rules, sharding, warc
 from ripecast.llm.common import read, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SHARDS = [f"shard-{k:03d}" for k in range(64)]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    scored = compress_quality.score(docs, compress_quality.learn(docs, labels)).drop("text")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -72,6 +80,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op7_warc": op7_warc,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
