@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import bpe, compress_quality, mixing, pii, quality_rules, sharding, warc
+from ripecast.llm import bpe, compress_quality, jaccard_join, mixing, pii, quality_rules, sharding, warc
 from ripecast.llm.common import read, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,6 +21,13 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.join(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))).alias("row")
+    kept = F.col("first") & ((F.col("row") == 1) | ~F.col("filled"))
+    return found.select("*", rows).select(F.col("key").alias("doc_id"), F.col("group_key").alias("class_id"), "n_links", kept.alias("kept"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -84,6 +91,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_mix": op3_mix,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
@@ -240,3 +248,24 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
        CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM l JOIN b USING (hex)
 """
+
+SQL["op2_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS rid, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[p:p+4], ' ') END AS sh
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS k
+  FROM s a JOIN s b ON a.sh = b.sh AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+e AS (
+  SELECT x, y FROM p JOIN n m ON m.rid = x JOIN n o ON o.rid = y WHERE k >= 0.8 * (m.n + o.n - k) - 1e-9),
+r AS (SELECT rid, rid AS root FROM d UNION SELECT r.rid, e.y FROM r JOIN e ON r.root = e.x),
+g AS (SELECT rid, min(root) AS root FROM r GROUP BY rid),
+l AS (SELECT x, count(*) AS n FROM e GROUP BY x)
+SELECT d.doc_id, h.doc_id AS class_id, coalesce(l.n, 0)::BIGINT AS n_links, g.root = d.rid AS kept
+FROM d JOIN g USING (rid) JOIN d h ON h.rid = g.root LEFT JOIN l ON l.x = d.rid
+"""
