@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import bpe, compress_quality, jaccard_join, mixing, pii, quality_rules, sharding, warc
+from ripecast.llm import bpe, compress_quality, jaccard_join, mixing, nn_descent, pii, quality_rules, sharding, warc
 from ripecast.llm.common import read, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -64,6 +64,16 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nn_descent.near_duplicates(read(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("key").alias("vec_id"),
+        "n_links",
+        F.col("component").alias("component_id"),
+        F.col("key").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, TOKENIZER, public_tokenizers.PATTERN).select("doc_id", "ids")
@@ -89,6 +99,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op7_warc": op7_warc,
+    "op8_nn_descent": op8_nn_descent,
     "op9_bpe": op9_bpe,
     "op10_pii": op10_pii,
     "op2_jaccard_join": op2_jaccard_join,
@@ -269,3 +280,19 @@ l AS (SELECT x, count(*) AS n FROM e GROUP BY x)
 SELECT d.doc_id, h.doc_id AS class_id, coalesce(l.n, 0)::BIGINT AS n_links, g.root = d.rid AS kept
 FROM d JOIN g USING (rid) JOIN d h ON h.rid = g.root LEFT JOIN l ON l.x = d.rid
 """
+
+SQL["op8_nn_descent"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+ok AS (
+  SELECT *, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS norm FROM v
+  WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+e AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.98),
+r AS (SELECT vec_id, vec_id AS root FROM v UNION SELECT r.vec_id, e.y FROM r JOIN e ON r.root = e.x),
+g AS (SELECT vec_id, min(root) AS root FROM r GROUP BY vec_id),
+l AS (SELECT x, count(*) AS n FROM e GROUP BY x)
+SELECT v.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, g.root AS component_id, g.root = v.vec_id AS kept
+FROM v JOIN g USING (vec_id) LEFT JOIN l ON l.x = v.vec_id
+"""
