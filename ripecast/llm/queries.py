@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import bpe, compress_quality, jaccard_join, mixing, nn_descent, pii, quality_rules, sharding, warc
+from ripecast.llm import bpe, compress_quality, jaccard_join, mixing, nn_descent, pii, quality_rules, sharding, suffix_dedup, warc
 from ripecast.llm.common import read, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -33,6 +33,11 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = quality_rules.ledger(read(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(entries, quality_rules.STRICT).select(
@@ -104,6 +109,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_mix": op3_mix,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
 }
@@ -296,3 +302,27 @@ l AS (SELECT x, count(*) AS n FROM e GROUP BY x)
 SELECT v.vec_id, coalesce(l.n, 0)::BIGINT AS n_links, g.root AS component_id, g.root = v.vec_id AS kept
 FROM v JOIN g USING (vec_id) LEFT JOIN l ON l.x = v.vec_id
 """
+
+SQL["op4_suffix_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT rid, p, substr(h, 2 * p + 1, 200) AS s
+  FROM (SELECT rid, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d)),
+f AS (SELECT s, min(rid * 4294967296 + p) AS first, count(*) AS n FROM w GROUP BY s HAVING count(*) > 1),
+later AS (SELECT rid, p FROM w JOIN f USING (s) WHERE rid * 4294967296 + p <> first),
+isle AS (
+  SELECT rid, p, sum(CASE WHEN p <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY p) AS k
+  FROM (SELECT rid, p, lag(p) OVER (PARTITION BY rid ORDER BY p) AS before FROM later)),
+cut AS (SELECT rid, k, min(p) AS a, max(p) + 100 AS z FROM isle GROUP BY rid, k),
+gap AS (
+  SELECT rid, k, a, z, lag(z, 1, 0) OVER (PARTITION BY rid ORDER BY k) AS from_, row_number() OVER (PARTITION BY rid ORDER BY k DESC) = 1 AS last
+  FROM cut),
+kept AS (
+  SELECT rid, count(*) AS n_spans, sum(z - a) AS n_removed,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)) || CASE WHEN last THEN substr(h, 2 * z + 1) ELSE '' END, '' ORDER BY k) AS h
+  FROM gap JOIN d USING (rid) GROUP BY rid)
+SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
