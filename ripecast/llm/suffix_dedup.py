@@ -8,8 +8,8 @@ blocks of ``BLOCK`` bytes at sampled positions (an eighth of all) show every rep
    sends each once.
 2. Names are sorted across cells; those seen in two cells or twice in one are repeated. Each cell gets one bit per name
    back. Strings are only ``LENGTH`` long, so block and remainder end the recursion on names after one level.
-3. The suffixes that start up to a period before a repeated block are merged: each run of them that shares its smallest
-   block hash travels as one piece of text to the place of that hash, is sorted there, and neighbours are compared
+3. The suffixes that start up to a period before a repeated block are merged: each run of them whose strings share their
+   smallest hash of ``ANCHOR`` bytes travels as one piece of text to the place of that hash, is sorted there, and neighbours are compared
    byte for byte. Within a cell repeats are settled first, so a very common passage travels once per cell.
 4. Starts of strings that are not the first of their kind come back to their cell, which removes the bytes they cover.
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,32 +41,30 @@ PERIOD = 57
 # Every residue modulo 57 is a difference of two of these.
 COVER = (0, 1, 3, 13, 32, 36, 43, 52)
 BLOCK = LENGTH - PERIOD + 1
+ANCHOR = 24
 CELL = 1 << 20
 MOST_CELL = 64 << 20
 _CHUNK = 4 << 20
 
 
 class Cell:
-    """The texts of one cell in order, one behind another, with the hashes of their blocks."""
+    """The texts of one cell in order, one behind another."""
 
     def __init__(self, table: pa.Table):
         ids, ties = table.column("id").to_pylist(), table.column("tie").to_pylist()
-        texts = table.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, ties[k]))
-        self.ids = [ids[k] for k in order]
-        self.ties = [ties[k] for k in order]
-        self.seq = []
-        for k in range(len(order)):
-            same = k and (self.ids[k], self.ties[k]) == (self.ids[k - 1], self.ties[k - 1])
-            self.seq.append(self.seq[-1] + 1 if same else 0)
-        self.texts = [texts[k] or b"" for k in order]
-        self.offsets = np.zeros(len(order) + 1, np.int64)
-        np.cumsum([len(t) for t in self.texts], out=self.offsets[1:])
-        self.data = np.frombuffer(b"".join(self.texts), np.uint8)
-        self.owner = np.repeat(np.arange(len(order)), np.diff(self.offsets))
+        table = table.take(pa.array(order, pa.int64()))
+        self.ids = table.column("id")
+        self.ties = table.column("tie")
+        ((_, _, self.data, self.offsets),) = spans.slices(table.column("text"), 1 << 62)
+
+    def locate(self) -> Cell:
+        """Adds for every byte its text, its place in it and the bytes from there on, and the hashes."""
+        self.owner = np.repeat(np.arange(len(self.ids)), np.diff(self.offsets))
         self.at = np.arange(len(self.data)) - self.offsets[self.owner]
         self.left = np.diff(self.offsets)[self.owner] - self.at
         self.hasher = spans.Hasher(self.data)
+        return self
 
     def names(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sampled positions, and for each the bucket and the rest of its name; the order that sorts them."""
@@ -86,7 +85,7 @@ def _distinct(bucket: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def _name_task(buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        cell = Cell(table)
+        cell = Cell(table).locate()
         _, bucket, rest, order = cell.names(buckets)
         bucket, rest = bucket[order], rest[order]
         new, _ = _distinct(bucket, rest)
@@ -130,9 +129,11 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-PIECE = "place bigint, cell bigint, id bigint, no_id boolean, tie bigint, seq bigint, start bigint, n bigint, text binary"
-_KINDS = {"bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+# A start is the number of its text within the cell and the offset in it; ``order`` and ``tie`` rank texts of all cells.
+PIECE = "place bigint, cell bigint, order bigint, tie bigint, start bigint, n bigint, text binary"
+_KINDS = {"bigint": pa.int64(), "binary": pa.binary()}
 _PIECE = pa.schema([(p.split()[0], _KINDS[p.split()[1]]) for p in PIECE.split(", ")])
+_TEXT = 1 << 36
 
 
 def _piece_task(buckets: int):
@@ -141,7 +142,7 @@ def _piece_task(buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return _PIECE.empty_table()
-        cell = Cell(left)
+        cell = Cell(left).locate()
         where, bucket, rest, order = cell.names(buckets)
         new, number = _distinct(bucket[order], rest[order])
         counts = np.bincount(number) if len(number) else np.zeros(0, np.int64)
@@ -162,9 +163,9 @@ def _piece_task(buckets: int):
         repeat = np.zeros(n, bool)
         repeat[at[order[~opens]]] = True
         block = np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-        usable = np.flatnonzero(cell.left >= BLOCK)
-        block[usable] = cell.hasher.of(usable, usable + BLOCK)
-        low = _lowest(block, PERIOD)
+        usable = np.flatnonzero(cell.left >= ANCHOR)
+        block[usable] = cell.hasher.of(usable, usable + ANCHOR)
+        low = _lowest(block, LENGTH - ANCHOR + 1)
         send = candidate & ~repeat
         joins = np.zeros(n, bool)
         joins[1:] = send[1:] & send[:-1] & (low[1:] == low[:-1]) & (cell.owner[1:] == cell.owner[:-1])
@@ -178,27 +179,29 @@ def _piece_task(buckets: int):
         owner = cell.owner[starts]
         data = cell.data.tobytes()
         texts = [data[s : e + LENGTH - 1] for s, e in zip(begin.tolist(), stop.tolist())] + [None] * len(a)
-        pick = lambda values: [values[k] for k in owner.tolist()]
-        ids = pick(cell.ids)
         mine = left.column("cell")[0].as_py()
-        columns = [places, [mine] * len(starts), [i or 0 for i in ids], [i is None for i in ids], pick(cell.ties), pick(cell.seq), cell.at[starts], ends - starts, texts]
+        missing = cell.ids.is_null().to_numpy()
+        rank = np.where(missing, np.iinfo(np.int64).max, cell.ids.fill_null(0).to_numpy())
+        tie = np.where(missing, cell.ties.to_numpy(), 0)
+        known = np.where(np.arange(len(starts)) < len(begin), 0, ends - starts)
+        columns = [places, np.full(len(starts), mine), rank[owner], tie[owner], owner * _TEXT + cell.at[starts], known, texts]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECE)], schema=_PIECE)
 
     return run
 
 
-RUN = "cell bigint, id bigint, no_id boolean, tie bigint, seq bigint, start bigint, n bigint"
+RUN = "cell bigint, start bigint, n bigint"
 _RUN = pa.schema([(p.split()[0], _KINDS[p.split()[1]]) for p in RUN.split(", ")])
 
 
 def _later(rows: pa.Table) -> pa.Table:
     """Runs of starts that are not the first of their string, among the pieces of some places."""
-    known = rows.filter(pa.compute.is_null(rows.column("text"))).select(_RUN.names)
+    known = rows.filter(pa.compute.is_null(rows.column("text"))).select(_RUN.names).cast(_RUN)
     rows = rows.filter(pa.compute.is_valid(rows.column("text")))
     if not rows.num_rows:
         return known
-    order = rows.select(["no_id", "id", "tie", "seq", "start"])
-    rows = rows.take(pa.compute.sort_indices(order, sort_keys=[(c, "ascending") for c in order.column_names]))
+    by = [(c, "ascending") for c in ("order", "tie", "cell", "start")]
+    rows = rows.take(pa.compute.sort_indices(rows.select([c for c, _ in by]), sort_keys=by))
     texts = rows.column("text").to_pylist()
     length = np.array([len(t) for t in texts], np.int64)
     first = np.cumsum(length) - length
@@ -222,9 +225,8 @@ def _later(rows: pa.Table) -> pa.Table:
     edge[1:] = piece[1:] != piece[:-1]
     begins = np.flatnonzero(later & (edge | ~np.append(False, later[:-1])))
     ends = np.flatnonzero(later & np.append(edge[1:] | ~later[1:], True)) + 1
-    source = rows.select(["cell", "id", "no_id", "tie", "seq", "start"]).take(pa.array(piece[begins]))
-    start = source.column("start").to_numpy() + step[begins]
-    found = [*(source.column(c).combine_chunks() for c in ("cell", "id", "no_id", "tie", "seq")), pa.array(start, pa.int64()), pa.array(ends - begins, pa.int64())]
+    source = rows.select(["cell", "start"]).take(pa.array(piece[begins]))
+    found = [source.column("cell").combine_chunks(), pa.array(source.column("start").to_numpy() + step[begins]), pa.array(ends - begins)]
     return pa.concat_tables([known, pa.Table.from_arrays(found, schema=_RUN)])
 
 
@@ -248,27 +250,24 @@ def _merge_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _later(pa.Table.from_batches(held).combine_chunks()).to_batches()
 
 
-OUT = "id bigint, tie bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+OUT = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 
 
 def _cut_task(left: pa.Table, right: pa.Table) -> pa.Table:
     cell = Cell(left) if left.num_rows else None
     out = {p.split()[0]: [] for p in OUT.split(", ")}
     if cell is not None:
-        row = {(None if no else i, t, s): k for k, (i, no, t, s) in enumerate(zip(cell.ids, (i is None for i in cell.ids), cell.ties, cell.seq))}
         cover = np.zeros(len(cell.data) + 1, np.int64)
         if right.num_rows:
-            keys = zip(*(right.column(c).to_pylist() for c in ("id", "no_id", "tie", "seq")))
-            base = cell.offsets[[row[(None if no else i, t, s)] for i, no, t, s in keys]]
-            start = base + right.column("start").to_numpy()
+            start = right.column("start").to_numpy()
+            start = cell.offsets[start // _TEXT] + start % _TEXT
             np.add.at(cover, start, 1)
             np.add.at(cover, start + right.column("n").to_numpy() + LENGTH - 1, -1)
         gone = np.cumsum(cover[:-1]) > 0
-        for k, text in enumerate(cell.texts):
-            own = gone[cell.offsets[k] : cell.offsets[k + 1]]
+        for k, i in enumerate(cell.ids.to_pylist()):
+            text, own = cell.data[cell.offsets[k] : cell.offsets[k + 1]], gone[cell.offsets[k] : cell.offsets[k + 1]]
             begins, _ = _runs(own)
-            kept = cell.data[cell.offsets[k] : cell.offsets[k + 1]][~own].tobytes() if own.any() else text
-            for name, value in zip(out, (cell.ids[k], cell.ties[k], len(text), int(own.sum()), len(begins), kept)):
+            for name, value in zip(out, (i, len(text), int(own.sum()), len(begins), text[~own].tobytes())):
                 out[name].append(value)
     kinds = [_KINDS[p.split()[1]] for p in OUT.split(", ")]
     return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds)})
