@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -15,6 +15,7 @@ import oracle as o
 from oracle import r6
 from ripecast import constants as K
 from ripecast import functions as X
+from ripecast import schemas, session
 from ripecast.operators import kpis, lookup, model, policy, profile, quality
 from ripecast.operators.policy import FormulaScorer
 from ripecast.operators.timeseries import by_day, forward_fill, one_row_per_day, pct_change
@@ -694,7 +695,8 @@ def _(w):
 
 @query("policy_choice", "choice", f"SELECT {o.CHOICE} FROM choice")
 def _(w):
-    return policy.choose(policy.score_candidates(policy.candidates(w.scoring_frame), FORMULA))
+    # all candidates of a key start in one row, so the choice is made there, without a shuffle
+    return w.policy_eval(FORMULA).select(*tables.names(w.scoring_frame.sparkSession, schemas.POLICY["choice"]))
 
 
 @query("policy_baseline", "base_eval", f"SELECT {o.BASELINE} FROM base_eval")
@@ -734,8 +736,8 @@ def _(w):
     return model.metrics(FORMULA.score(test, "effective_price", "discount_pct", "predicted_unit_sales"))
 
 
-# Trained models have no SQL twin. The registered runs use few and shallow trees; the presets hold the full sizes.
-SMALL = dict(maxIter=8, maxDepth=5)
+# Predicted values of trained models have no SQL twin; what can be told exactly about them is registered as *_exact.
+# A model is fitted once per session, folder and preset, and the queries that use it share it.
 _MODELS: dict = {}
 
 
@@ -743,7 +745,8 @@ def fitted(w: Warehouse, preset: str = "warehouse"):
     spark = w.raw("sales").sparkSession
     key = (spark.sparkContext.applicationId, w.name, preset)
     if key not in _MODELS:
-        _MODELS[key] = model.train(w.features_split, preset, **SMALL)
+        session.checkpoints(spark)
+        _MODELS[key] = model.train(w.features_split, preset)
     return _MODELS[key]
 
 
@@ -782,6 +785,73 @@ def _(w):
     return w.policy_eval(model.ModelScorer(fitted(w)))
 
 
+def split_sizes(w: Warehouse, *presets: str) -> DataFrame:
+    """Rows scored per split, and whether every score is a finite number."""
+    parts = []
+    for preset in presets:
+        scored = model.predict(fitted(w, preset), w.features_split.where((F.col("split") != "train") & F.col(K.LABEL).isNotNull()))
+        good = F.col("predicted_unit_sales").isNotNull() & (F.abs("predicted_unit_sales") < float("inf"))
+        parts.append(scored.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.every(good).alias("all_finite")).select(F.lit(preset).alias("preset"), "*"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _split_sizes_sql(*presets: str) -> str:
+    names = ", ".join(f"('{p}')" for p in presets)
+    return (
+        f"SELECT preset, split, count(*) AS n_rows, true AS all_finite FROM split, (VALUES {names}) p(preset) "
+        "WHERE split <> 'train' AND unit_sales IS NOT NULL GROUP BY preset, split"
+    )
+
+
+@query("train_gbt_exact", "split", _split_sizes_sql("warehouse"))
+def _(w):
+    return split_sizes(w, "warehouse")
+
+
+@query("train_gbt_alt_exact", "split", _split_sizes_sql("histogram", "leafwise"))
+def _(w):
+    return split_sizes(w, "histogram", "leafwise")
+
+
+@query(
+    "predict_exact",
+    "split",
+    "SELECT date, store_nbr, item_nbr, unit_sales, split, true AS scored FROM split WHERE split = 'test'",
+)
+def _(w):
+    scored = model.predict(fitted(w), w.features_split.where(F.col("split") == "test"))
+    return scored.select(*K.KEYS, K.LABEL, "split", F.col("predicted_unit_sales").isNotNull().alias("scored"))
+
+
+@query(
+    "feature_importance_exact",
+    "",
+    "SELECT unnest([" + ", ".join(f"'{c}'" for c in (*K.NUMERIC_FEATURES, *K.CATEGORICAL_FEATURES)) + "]) AS feature, "
+    "true AS in_range, 1.0::DOUBLE AS total",
+)
+def _(w):
+    table = model.feature_importance(fitted(w), w.int_sales)
+    total = F.round(F.sum("importance").over(Window.partitionBy()), 6)
+    return table.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
+
+
+@query(
+    "policy_sweep_model_exact",
+    "frame",
+    "SELECT date, store_nbr, item_nbr, true AS in_grid, true AS is_best FROM frame",
+)
+def _(w):
+    scorer = model.ModelScorer(fitted(w))
+    swept = w.policy_eval(scorer)
+    scored = policy.score_candidates(policy.candidates(w.scoring_frame), scorer)
+    best = scored.groupBy(*K.KEYS).agg(F.max(F.col("cand_effective_price") * F.col("pred_units")).alias("most"))
+    return swept.join(best, K.KEYS).select(
+        *K.KEYS,
+        F.col("policy_discount_pct").isin(*[float(g) for g in K.DISCOUNT_GRID]).alias("in_grid"),
+        F.coalesce(F.abs(F.col("policy_revenue") - F.col("most")) < 1e-9, F.col("most").isNull()).alias("is_best"),
+    )
+
+
 # --- data quality ---------------------------------------------------------------------------------------------------
 
 
@@ -853,10 +923,10 @@ def _nulls(table: str, columns: str) -> list[str]:
     return [_count(table, c, "not_null", f"{c} IS NULL") for c in columns.split()]
 
 
-_SHELVES = "date store_nbr item_nbr"
+_KEY_NAMES = "date store_nbr item_nbr"
 _LISTED = "family NOT IN (SELECT family FROM bands)"
 REPORT = [
-    *_nulls("stg_sales", f"id {_SHELVES} unit_sales"),
+    *_nulls("stg_sales", f"id {_KEY_NAMES} unit_sales"),
     *_nulls("stg_items", "item_nbr"),
     _repeats("stg_items", "item_nbr", "unique"),
     *_nulls("stg_stores", "store_nbr"),
@@ -865,7 +935,7 @@ REPORT = [
     _repeats("stg_oil_prices", "date", "unique"),
     *_nulls("stg_holidays", "date"),
     _repeats("int_sales", "date,store_nbr,item_nbr"),
-    *_nulls("int_sales", f"{_SHELVES} unit_sales onpromotion"),
+    *_nulls("int_sales", f"{_KEY_NAMES} unit_sales onpromotion"),
     _count("int_sales", "unit_sales", "accepted_range", "unit_sales NOT BETWEEN 0 AND 200"),
     _count("int_sales", "unit_sales", "no_negative", "unit_sales < 0"),
     _count("int_sales", "onpromotion", "accepted_values", "onpromotion NOT IN (true, false)"),
@@ -892,7 +962,7 @@ REPORT = [
     _repeats("dim_holidays", "date", "unique"),
     _count("dim_holidays", "is_nat_holiday", "accepted_values", "is_nat_holiday NOT IN (true, false)"),
     _repeats("fct_sales_features", "date,store_nbr,item_nbr"),
-    *_nulls("fct_sales_features", f"{_SHELVES} unit_sales family class perishable_bool base_price"),
+    *_nulls("fct_sales_features", f"{_KEY_NAMES} unit_sales family class perishable_bool base_price"),
     *_nulls("fct_sales_features", "shelf_life_days days_since_stock time_to_expiry discount_pct effective_price"),
     _count("fct_sales_features", "unit_sales", "accepted_range", "unit_sales NOT BETWEEN 0 AND 200"),
     _count("fct_sales_features", "onpromotion", "accepted_values", "onpromotion NOT IN (true, false)"),

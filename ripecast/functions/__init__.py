@@ -8,7 +8,6 @@ from ripecast.functions.scalars import (
     effective_price,
     expiry_bucket,
     hash_unit,
-    known_category,
     log_units,
     money_round,
     parse_bool,
@@ -30,7 +29,6 @@ __all__ = [
     "effective_price",
     "expiry_bucket",
     "hash_unit",
-    "known_category",
     "log_units",
     "money_round",
     "parse_bool",

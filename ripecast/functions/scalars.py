@@ -114,8 +114,3 @@ def split_label(
     last = dt.date.fromisoformat(max_date) if isinstance(max_date, str) else max_date
     valid_from, test_from = (F.lit(last - dt.timedelta(days=n)) for n in (valid_days, test_days))
     return F.when(date < valid_from, "train").when(date < test_from, "valid").otherwise("test")
-
-
-def known_category(value: Column, known: Column) -> Column:
-    """The value when it was seen in training, else the unknown marker."""
-    return F.when(known.isNotNull(), value).otherwise(F.lit(K.UNKNOWN_CATEGORY))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -15,13 +15,20 @@ from ripecast.session import checkpoint_dir
 INDEXED = [f"{c}_idx" for c in K.CATEGORICAL_FEATURES]
 INPUTS = [*K.NUMERIC_FEATURES, *INDEXED]
 MISSING = -1.0
-MAX_CATEGORIES = 2_000
 
-# Parameter sets, in GBTRegressor terms. A leaf-count limit has no twin there and becomes a depth of 8.
+# Parameter sets, in GBTRegressor terms. A leaf-count limit has no twin there and becomes a depth of 8. ``patience`` is
+# the number of rounds without a better valid error after which training stops; ``validationTol`` is a progress rule,
+# which stops at the first round that gains less than that share.
 PRESETS = {
-    "warehouse": dict(maxIter=600, maxDepth=8, subsamplingRate=0.8, stepSize=0.3, maxBins=256),
+    "warehouse": dict(maxIter=600, maxDepth=8, subsamplingRate=0.8, stepSize=0.3, maxBins=256, validationTol=0.01),
     "histogram": dict(
-        maxIter=1000, maxDepth=8, subsamplingRate=0.8, stepSize=0.3, maxBins=256, featureSubsetStrategy="0.8"
+        maxIter=1000,
+        maxDepth=8,
+        subsamplingRate=0.8,
+        stepSize=0.3,
+        maxBins=256,
+        featureSubsetStrategy="0.8",
+        patience=50,
     ),
     "leafwise": dict(
         maxIter=800,
@@ -31,6 +38,7 @@ PRESETS = {
         maxBins=255,
         minInstancesPerNode=64,
         featureSubsetStrategy="0.8",
+        patience=100,
     ),
 }
 
@@ -51,20 +59,31 @@ def vocabulary(train: DataFrame, column: str) -> DataFrame:
     return train.select(F.col(column).cast("string").alias(column)).distinct()
 
 
-def _category_limit(train: DataFrame) -> int:
-    """Largest category count plus the unknown slot. Labels live on the driver, so their number is checked first."""
+def _category_limit(train: DataFrame, max_categories: int | None) -> int:
+    """Largest category count plus the unknown slot. Labels live on the driver, so a caller may bound their number."""
     sizes = train.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in K.CATEGORICAL_FEATURES]).first()
     largest = max(sizes[c] for c in K.CATEGORICAL_FEATURES)
-    if largest > MAX_CATEGORIES:
-        raise ValueError(f"a categorical feature has about {largest} values, more than {MAX_CATEGORIES}")
+    if max_categories is not None and largest > max_categories:
+        raise ValueError(f"a categorical feature has about {largest} values, more than {max_categories}")
     # head room for the estimate's error
     return int(largest * 1.1) + 3
 
 
 def train(
-    split: DataFrame, preset: str = "warehouse", seed: int = 42, early_stop: bool = True, **overrides
+    split: DataFrame,
+    preset: str = "warehouse",
+    seed: int = 42,
+    early_stop: bool = True,
+    max_categories: int | None = None,
+    **overrides,
 ) -> PipelineModel:
-    """Fit on the train rows; with ``early_stop`` the valid rows decide when to stop adding trees."""
+    """Fit on the train rows; with ``early_stop`` the valid rows decide how many trees to keep.
+
+    Boosting runs for hundreds of rounds, whose lineage is cut in the folder that the session names in
+    ``spark.checkpoint.dir``; without one, training fails.
+    """
+    if not checkpoint_dir(split.sparkSession):
+        raise ValueError("training needs a shared folder in spark.checkpoint.dir")
     rows = model_inputs(split.where(F.col("split").isin("train", "valid") & F.col(K.LABEL).isNotNull())).select(
         *K.NUMERIC_FEATURES,
         *K.CATEGORICAL_FEATURES,
@@ -74,34 +93,55 @@ def train(
     # several passes follow; a lost executor recomputes its part from the source
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(rows, {**PRESETS[preset], **overrides}, seed, early_stop)
+        return _fit(rows, {**PRESETS[preset], **overrides}, seed, early_stop, max_categories)
     finally:
         rows.unpersist()
 
 
-def _fit(rows: DataFrame, params: dict, seed: int, early_stop: bool) -> PipelineModel:
-    train_rows = rows.where(~F.col("is_valid"))
-    params = {**params, "maxBins": max(params.get("maxBins", 32), _category_limit(train_rows))}
+def _fit(rows: DataFrame, params: dict, seed: int, early_stop: bool, max_categories: int | None) -> PipelineModel:
+    train_rows, valid_rows = rows.where(~F.col("is_valid")), rows.where("is_valid")
+    params = {**params, "maxBins": max(params.get("maxBins", 32), _category_limit(train_rows, max_categories))}
+    patience = params.pop("patience", None)
 
     # the vocabulary comes from the train rows only; later categories take the unknown slot
     indexer = StringIndexer(
         inputCols=K.CATEGORICAL_FEATURES, outputCols=INDEXED, handleInvalid="keep", stringOrderType="alphabetAsc"
     ).fit(train_rows)
+    assembler = VectorAssembler(inputCols=INPUTS, outputCol="features")
     gbt = GBTRegressor(
         featuresCol="features",
         labelCol=K.LABEL,
         predictionCol="predicted_unit_sales",
         seed=seed,
-        checkpointInterval=10 if checkpoint_dir(rows.sparkSession) else -1,
+        checkpointInterval=10,
         **params,
     )
+    ready = lambda part: assembler.transform(indexer.transform(part))
     # an empty validation part would stop training at once
-    if early_stop and not rows.where("is_valid").isEmpty():
-        gbt.setValidationIndicatorCol("is_valid")
-        fit_rows = rows
+    if not early_stop or valid_rows.isEmpty():
+        trees = gbt.fit(ready(train_rows))
+    elif patience is None:
+        trees = gbt.setValidationIndicatorCol("is_valid").fit(ready(rows))
     else:
-        fit_rows = train_rows
-    return Pipeline(stages=[indexer, VectorAssembler(inputCols=INPUTS, outputCol="features"), gbt]).fit(fit_rows)
+        trees = _patient(gbt, ready(train_rows), ready(valid_rows), patience)
+    return PipelineModel([indexer, assembler, trees])
+
+
+def _patient(gbt: GBTRegressor, train_rows: DataFrame, valid_rows: DataFrame, patience: int):
+    """The trees up to the best round on the valid rows, once ``patience`` more rounds have brought nothing better.
+
+    Rounds under one seed repeat, so training goes on by fitting more of them, and the kept model is a fit of the best
+    number of rounds.
+    """
+    most = gbt.getMaxIter()
+    rounds = min(most, patience + 1)
+    while True:
+        trees = gbt.copy().setMaxIter(rounds).fit(train_rows)
+        errors = trees.evaluateEachIteration(valid_rows, "squared")
+        best = min(range(len(errors)), key=errors.__getitem__) + 1
+        if best + patience <= rounds or rounds == most:
+            return trees if best == rounds else gbt.copy().setMaxIter(best).fit(train_rows)
+        rounds = min(most, max(best + patience, rounds + patience))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -159,11 +199,12 @@ class ModelScorer:
 
 
 def metrics(
-    scored: DataFrame, label: str = K.LABEL, prediction: str = "predicted_unit_sales", accuracy: int = 1_000_000
+    scored: DataFrame, label: str = K.LABEL, prediction: str = "predicted_unit_sales", accuracy: int = 10_000
 ) -> DataFrame:
     """Regression metrics in one pass. Squared logs are taken of values clamped at zero.
 
-    The median comes from a sketch bounded by ``accuracy``: exact up to that many rows, within one part of it beyond.
+    The median comes from a sketch whose size is bounded by ``accuracy``: its rank is off by one part in ``accuracy`` of
+    the rows at most, whatever their number.
     """
     y, p = F.col(label), F.col(prediction)
     rows = scored.where(y.isNotNull() & p.isNotNull())

@@ -49,7 +49,8 @@ def series_columns(
     if max_rows is None:
         return _plain(df, keys, columns, min_history, [order])
 
-    by = [order, _spread(ties), *ties]
+    # one total order for both ways: rows that agree in all of it are equal
+    by = [order, _spread(ties), *ties, *[c for c in df.columns if c not in (*keys, order, *ties)]]
     hot = _hot_series(df, keys, max_rows)
     n_hot = hot.count()
     if n_hot == 0:
@@ -87,9 +88,11 @@ def _plain(
 ) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*by)
     added = columns(w)
+    # an exchange of its own: below may lie a join layout by item only, which would put an item's stores into one task
+    dealt = df.repartition(*[F.col(k) for k in keys])
     if min_history is None:
-        return df.withColumns(added)
-    numbered = df.withColumns({**added, "_row": F.row_number().over(w)})
+        return dealt.withColumns(added)
+    numbered = dealt.withColumns({**added, "_row": F.row_number().over(w)})
     return numbered.where(F.col("_row") > min_history).drop("_row")
 
 

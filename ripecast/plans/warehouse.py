@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ripecast import constants as K
 from ripecast import schemas
+from ripecast.functions import shard_of
 from ripecast.operators import kpis, policy, quality
 from ripecast.operators.series import MAX_SERIES_ROWS
 from ripecast.plans import contracts, dims, fact, features, staging
-from ripecast.sources import tables
+from ripecast.sources import files, tables
 from ripecast.sources.deliveries import read_raw
 from ripecast.sources.sample_retail import SPLIT, SampleRetail
 
@@ -30,6 +33,10 @@ LAYERS: list[tuple[str, str | None, list[str]]] = [
 ]
 
 
+# The file that names the folder of the last complete build.
+CURRENT = "CURRENT"
+
+
 class Warehouse:
     """``raw`` returns a raw table by name. ``max_rows=None`` states that sales are unique per (date, store, item), so no series needs splitting."""
 
@@ -144,18 +151,40 @@ class Warehouse:
         """Store every layer under a shared folder and go on from the stored tables.
 
         Each table is computed once; later layers scan it with pruned columns and partitions, and a job that loses
-        executors recomputes from the last stored table at most.
+        executors recomputes from the last stored table at most. Every build starts from the raw tables and writes into
+        a folder of its own; the pointer file is switched when all layers are there, so a build that fails leaves the
+        tables before it readable.
         """
-        for name, partition, cluster in LAYERS:
-            table = tables.describe(getattr(self, name), contracts.COMMENTS)
-            path = f"{root}/{name}"
-            tables.write_table(table, path, partition, cluster)
-            self.__dict__[name] = tables.read_table(table.sparkSession, path, schemas.TABLES[name])
-            if name == "fact":
-                clean = features.features_clean(self.fact)
-                self.__dict__["features_enriched"] = features.features_enriched(clean, self.max_rows)
+        self._forget()
+        version = f"build-{uuid.uuid4().hex}"
+        try:
+            for name, partition, cluster in LAYERS:
+                table = tables.describe(getattr(self, name), contracts.COMMENTS)
+                path = f"{root}/{version}/{name}"
+                tables.write_table(table, path, partition, cluster)
+                self.__dict__[name] = tables.read_table(table.sparkSession, path, schemas.TABLES[name], contracts.COMMENTS)
+                if name == "fact":
+                    clean = features.features_clean(self.fact)
+                    self.__dict__["features_enriched"] = features.features_enriched(clean, self.max_rows)
+        except Exception:
+            self._forget()
+            raise
+        files.write_text(table.sparkSession, f"{root}/{CURRENT}", version)
+        return self
+
+    def open(self, spark: SparkSession, root: str) -> Warehouse:
+        """Go on from the layers of the last complete build under ``root``."""
+        self._forget()
+        version = files.read_text(spark, f"{root}/{CURRENT}").strip()
+        for name, _, _ in LAYERS:
+            self.__dict__[name] = tables.read_table(spark, f"{root}/{version}/{name}", schemas.TABLES[name], contracts.COMMENTS)
         return self
 
+    def _forget(self) -> None:
+        """Drop what was derived or stored, so that tables are built from the raw side again."""
+        for name in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
+            del self.__dict__[name]
+
     def publish(self, prefix: str = "") -> None:
         """Expose the tables as views for ``spark.sql``."""
         for name in ("stg_sales", "stg_items", "stg_stores", "stg_oil_prices", "stg_holidays", "features_enriched"):
@@ -163,17 +192,45 @@ class Warehouse:
         for name, _, _ in LAYERS:
             tables.publish(getattr(self, name), f"{prefix}{'fct_sales_features' if name == 'fact' else name}")
 
-    def run_policy(self, scorer: policy.Scorer, root: str, **options) -> dict[str, DataFrame]:
-        """Store the evaluation by day, replacing only the days it covers, and the KPIs of the whole stored table."""
-        evaluation = self.policy_eval(scorer, **options)
-        path = f"{root}/policy_eval"
-        tables.write_slice(evaluation, path, "date", K.SERIES)
-        schema = f"{schemas.POLICY['eval']}, time_to_expiry BIGINT"
-        stored = tables.read_table(evaluation.sparkSession, path, schema)
-        results = self.kpis(stored)
+    def run_policy(
+        self,
+        scorer: policy.Scorer,
+        root: str,
+        *,
+        model: str | None = None,
+        grid: Sequence[float] = tuple(K.DISCOUNT_GRID),
+        start: str | None = None,
+        end: str | None = None,
+        shard: int | None = None,
+        n_shards: int = 16,
+    ) -> dict[str, DataFrame]:
+        """Store candidates, choice and evaluation of a slice of days (and of one shard of the series, where given), and
+        the KPIs of the whole stored evaluation. Each ``model`` has tables of its own."""
+        base = f"{root}/{model}" if model else root
+        frame = policy.in_days(self.scoring_frame, start, end)
+        if shard is not None:
+            frame = frame.where(shard_of(n_shards, *[F.col(c) for c in K.SERIES]) == shard)
+        scored = policy.score_candidates(policy.candidates(frame, grid), scorer)
+        evaluation = policy.sweep(frame, scorer, grid, keep=["time_to_expiry"])
+        parts = {
+            "policy_candidates": (scored, schemas.POLICY["candidates"]),
+            "policy_choice": (evaluation.select(*tables.names(frame.sparkSession, schemas.POLICY["choice"])), schemas.POLICY["choice"]),
+            "policy_eval": (evaluation, f"{schemas.POLICY['eval']}, time_to_expiry BIGINT"),
+        }
+        stored = {}
+        for name, (table, schema) in parts.items():
+            tables.write_slice(table, f"{base}/{name}", "date", K.SERIES, start=start, end=end, shard=shard)
+            stored[name] = tables.read_table(frame.sparkSession, f"{base}/{name}", schema)
+        results = self.kpis(stored["policy_eval"])
         for name, table in results.items():
-            tables.write_csv(table, f"{root}/{name}")
-        return {"policy_eval": stored, **results}
+            tables.write_csv(table, f"{base}/{name}")
+        tables.write_csv(stored["policy_eval"], f"{base}/policy_eval_csv")
+        return {**stored, **results}
+
+    def store_model_report(self, model: str, metrics: DataFrame, importance: DataFrame, root: str) -> None:
+        """Keep a model's metrics and feature importances beside its policy tables."""
+        tables.write_table(metrics, f"{root}/{model}/metrics", None)
+        tables.write_table(importance, f"{root}/{model}/feature_importance", None)
 
     def policy_eval(
         self,

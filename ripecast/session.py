@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session. AQE coalesces small shuffle partitions, splits skewed join and
@@ -22,8 +24,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "ripecast", master: str | None = None, **conf: str) -> SparkSession:
-    """Create (or get) a session; ``conf`` keys use ``__`` in place of dots."""
+def build_session(
+    app: str = "ripecast", master: str | None = None, shuffle_gb: float | None = None, **conf: str
+) -> SparkSession:
+    """Create (or get) a session; ``conf`` keys use ``__`` in place of dots.
+
+    ``shuffle_gb`` is the size of the largest shuffle to expect. AQE starts from a partition per 128 MB of it and merges
+    small ones; Spark's own default of 200 is an upper limit that large inputs outgrow.
+    """
+    if shuffle_gb is not None:
+        first = str(max(200, int(shuffle_gb * 8)))
+        conf = {"spark__sql__adaptive__coalescePartitions__initialPartitionNum": first, **conf}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -40,3 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if named and not context.getCheckpointDir():
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def checkpoints(spark: SparkSession) -> str:
+    """The checkpoint folder; a scratch folder of this machine where the session names none, as on a single machine."""
+    if not checkpoint_dir(spark):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ripecast-"))
+    return checkpoint_dir(spark)

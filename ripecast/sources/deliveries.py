@@ -6,17 +6,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
+from ripecast.sources.files import found
 
 # logical tables and the raw folder and delivered file each is read from; None means every file of the folder
 RAW_TABLES = {
     "sales": ("sales", "train.csv"),
-    "items": ("misc", None),
+    "items": ("misc", "items.csv"),
     "stores": ("stores", None),
     "holidays": ("holidays", None),
     "oil_prices": ("oil_prices", None),
     "transactions": ("transactions", None),
 }
 
+# The columns of each delivery, in file order.
+RAW_COLUMNS = {
+    "sales": "id date store_nbr item_nbr unit_sales onpromotion",
+    "items": "item_nbr family class perishable",
+    "stores": "store_nbr city state type cluster",
+    "holidays": "date type locale locale_name description transferred",
+    "oil_prices": "date dcoilwtico",
+    "transactions": "date store_nbr transactions",
+}
+
+# Quotes inside a quoted field are doubled, as spreadsheets and most exporters write them.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+
 
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
@@ -37,23 +51,38 @@ def list_deliveries(spark: SparkSession, landing: str) -> DataFrame:
     return files.select("path", name.alias("file"), route(name).alias("table_name"), "length")
 
 
-def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
-    """CSV with a header; every column is text, so that later casts see the raw value."""
-    return spark.read.option("header", True).csv(list(paths))
+def read_csv(spark: SparkSession, *paths: str, columns: str | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; every column is text, so that later casts see the raw value.
+
+    With ``columns`` the header must have exactly these names in this order; else the read fails rather than shift
+    values. ``multi_line`` allows line breaks inside quoted fields, at the price that a file is read by one task.
+    """
+    reader = spark.read.options(**CSV).option("multiLine", multi_line)
+    if columns is not None:
+        reader = reader.schema(_text_schema(columns)).option("enforceSchema", False)
+    return reader.csv(list(paths))
 
 
-def ingest(spark: SparkSession, path: str, raw: str, ingest_date: str) -> None:
+def _text_schema(columns: str) -> str:
+    return ", ".join(f"`{c}` STRING" for c in columns.split())
+
+
+def ingest(spark: SparkSession, path: str, raw: str, ingest_date: str, multi_line: bool = False) -> None:
     """Copy one delivered file into the raw zone at <table>/ingest_date=<d>/source_file=<name>; a rerun replaces it."""
     name = path.rstrip("/").rsplit("/", 1)[-1]
     table = K.FILE_ROUTES.get(name, K.FILE_ROUTE_DEFAULT)
     target = f"{raw}/{table}/ingest_date={ingest_date}/source_file={name}"
-    read_csv(spark, path).write.mode("overwrite").option("header", True).csv(target)
+    read_csv(spark, path, multi_line=multi_line).write.mode("overwrite").options(**CSV).csv(target)
+
 
+def read_raw(spark: SparkSession, raw: str, table: str, ingest_date: str, multi_line: bool = False) -> DataFrame:
+    """One snapshot of one logical table, without rows where it was not delivered.
 
-def read_raw(spark: SparkSession, raw: str, table: str, ingest_date: str) -> DataFrame:
-    """One snapshot of one logical table. Path partitions are pruned, so other dates and files are not opened."""
+    The date and, where one is named, the file are part of the path, so nothing else is listed or opened.
+    """
     folder, only_file = RAW_TABLES[table]
-    base = f"{raw}/{folder}"
-    file_part = f"source_file={only_file}" if only_file else "*"
-    rows = spark.read.option("header", True).option("basePath", base).csv(f"{base}/ingest_date=*/{file_part}")
-    return rows.where(F.col("ingest_date").cast("string") == ingest_date).drop("ingest_date", "source_file")
+    columns = RAW_COLUMNS[table]
+    path = f"{raw}/{folder}/ingest_date={ingest_date}/source_file={only_file or '*'}"
+    if not found(spark, path):
+        return spark.createDataFrame([], _text_schema(columns))
+    return read_csv(spark, path, columns=columns, multi_line=multi_line)

@@ -34,6 +34,27 @@ def test_model_beats_the_mean(split, fitted):
     assert constant.r2_score == pytest.approx(0, abs=1e-9)
 
 
+def test_patience_keeps_several_trees_and_beats_the_mean_on_valid_rows(split):
+    signal = split.withColumn(K.LABEL, 5 + 3 * F.col("dow") + 10 * F.coalesce("discount_pct", F.lit(0.0)) + F.col("month"))
+    kept = model.train(signal, "leafwise", maxIter=25, maxDepth=3, stepSize=0.3, patience=5)
+    assert kept.stages[-1].getNumTrees > 1
+    valid = signal.where(F.col("split") == "valid")
+    mean = signal.where(F.col("split") == "train").agg(F.avg(K.LABEL)).first()[0]
+    ours = model.metrics(model.predict(kept, valid)).first().root_mean_squared_error
+    assert ours < 0.5 * model.metrics(valid.withColumn("predicted_unit_sales", F.lit(mean))).first().root_mean_squared_error
+
+
+def test_training_needs_a_checkpoint_folder(split, monkeypatch):
+    monkeypatch.setattr(model, "checkpoint_dir", lambda spark: None)
+    with pytest.raises(ValueError, match="checkpoint"):
+        model.train(split, **SMALL)
+
+
+def test_category_limit_is_the_callers(split):
+    with pytest.raises(ValueError, match="categorical"):
+        model.train(split, max_categories=1, **SMALL)
+
+
 def test_training_repeats_under_a_seed(split, fitted):
     test = split.where(F.col("split") == "test")
     assert predictions(fitted, test) == predictions(model.train(split, **SMALL), test)
