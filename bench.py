@@ -31,6 +31,8 @@ HEADLINE = [
     "kpi_by_expiry",
     "eda_cardinality",
     "dq_report",
+    "policy_sweep_model",
+    "train_gbt",
 ]
 
 
@@ -43,12 +45,13 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
-        spark__sql__adaptive__coalescePartitions__minPartitionSize="64k",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:
+        if name == "train_gbt":
+            catalog._MODELS.clear()  # time the fit, not what the session keeps of it
         start = time.perf_counter()
         catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - start

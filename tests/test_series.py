@@ -119,3 +119,10 @@ def test_no_rows(spark):
 def test_history_longer_than_lookback_is_refused(spark):
     with pytest.raises(ValueError):
         run(spark.createDataFrame([], SCHEMA), 10, min_history=6)
+
+
+def test_repeated_ids_give_the_same_rows_on_both_paths(spark):
+    rows = [(1, 1, day(n // 4), "same", float(n % 7)) for n in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole, split = run(df, 10**6), run(df, 10)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, split.collect()))
