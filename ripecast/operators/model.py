@@ -134,7 +134,7 @@ def _patient(gbt: GBTRegressor, train_rows: DataFrame, valid_rows: DataFrame, pa
     number of rounds.
     """
     most = gbt.getMaxIter()
-    rounds = min(most, patience + 1)
+    rounds = min(most, patience + max(1, patience // 2))
     while True:
         trees = gbt.copy().setMaxIter(rounds).fit(train_rows)
         errors = trees.evaluateEachIteration(valid_rows, "squared")
