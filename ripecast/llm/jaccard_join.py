@@ -4,11 +4,13 @@ Equal sets are collapsed first and carried as one class with a count. Every clas
 for each of as many hash functions, the shingle with the smallest hash; two sets share a sampled token with probability
 equal to their similarity. Each of ``RUNS`` runs starts a tree: sets are split by one sampled token, and a bucket of
 more than ``BUCKET`` sets is split again by ``BRANCHES`` further tokens that the path chooses, down to ``DEPTH`` levels.
-Small buckets, and those that do not fall apart, are compared by brute force with exact similarities. A pair at the
+Small buckets, and those whose members are mostly alike and so would not fall apart, are compared by brute force with
+exact similarities. A pair at the
 threshold meets in one run with probability 0.8 (0.77 and 0.74 in buckets split once and twice more), so eight runs
 find it with a probability of at least 0.99998; higher similarities are found more surely.
 
-Scale: buckets with the same members are compared once. A bucket is cut into tiles and each pair of tiles is one unit of
+Scale: buckets with the same members are compared once, and members that met in an earlier bucket are not brought
+together again where they are the bulk of a bucket. A bucket is cut into tiles and each pair of tiles is one unit of
 work, so no task holds a bucket; a pair that meets in several buckets counts in the first one only. Pairs are never
 written: a unit emits link counts per set and a spanning forest of its links. Texts cross two exchanges, once by key and
 once to the units of those sets that share a bucket.
@@ -22,6 +24,7 @@ repeat; other columns are not read; an empty table gives an empty result. Equali
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,9 @@ COORDINATES = 24
 BUCKET = 48
 BRANCHES = 2
 DEPTH = 3
-TILE = 256
+ALIKE = 0.5
+PROBES = 4
+TILE = 512
 _BLOCK = 4096
 
 
@@ -99,29 +104,61 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("key"), as_text(text).alias("text")).mapInArrow(_sketch_task, schema)
 
 
+def _alike(rows: DataFrame) -> DataFrame:
+    """path of the buckets whose members agree in ``ALIKE`` or more of a few sampled tokens on average."""
+    each = [rows.groupBy("path", F.element_at("samples", RUNS + k + 1).alias("token")).agg(F.count(F.lit(1)).alias("n")) for k in range(PROBES)]
+    counts = reduce(DataFrame.unionByName, each)
+    # the counts of all probes add up to PROBES times the size
+    mean = PROBES * F.sum(F.col("n").cast("double") * F.col("n")) / F.pow(F.sum("n").cast("double"), 2)
+    return counts.groupBy("path").agg(mean.alias("mean")).where(F.col("mean") >= ALIKE).select("path")
+
+
 def buckets(sets: DataFrame) -> DataFrame:
     """path, id, size: the members of the buckets to compare, from (id, samples)."""
-    token = lambda k: F.element_at("samples", k)
-    start = F.array(*[F.xxhash64(F.lit(r), token(F.lit(r + 1))) for r in range(RUNS)])
+    start = F.array(*[F.xxhash64(F.lit(r), F.element_at("samples", F.lit(r + 1))) for r in range(RUNS)])
     rows = sets.select("id", "samples", F.explode(start).alias("path"))
     done = None
     for level in range(DEPTH):
         sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("who")).where(F.col("size") > 1)
         last = level == DEPTH - 1
-        ready = sizes if last else sizes.where(F.col("size") <= BUCKET)
-        members = rows.select("id", "path").join(ready, "path")
+        members = rows.join(sizes if last else sizes.where(F.col("size") <= BUCKET), "path").select("path", "id", "size", "who")
         done = members if done is None else done.unionByName(members)
         if last:
             break
-        large = rows.join(sizes.where(F.col("size") > BUCKET).select("path"), "path")
-        spare = COORDINATES - RUNS
-        picks = F.array(*[(F.pmod(F.xxhash64("path", F.lit(b)), F.lit(spare // BRANCHES)) + b * (spare // BRANCHES) + RUNS + 1).cast("int") for b in range(BRANCHES)])
-        rows = store(large.select("id", "samples", F.explode(F.transform(picks, lambda j: F.xxhash64("path", j, F.element_at("samples", j)))).alias("path")), "join-level")
+        large = store(rows.join(sizes.where(F.col("size") > BUCKET), "path"), "join-large")
+        alike = _alike(large)
+        done = done.unionByName(large.join(alike, "path", "left_semi").select("path", "id", "size", "who"))
+        spare = (COORDINATES - RUNS) // BRANCHES
+        picks = F.array(*[(F.pmod(F.xxhash64("path", F.lit(b)), F.lit(spare)) + b * spare + RUNS + 1).cast("int") for b in range(BRANCHES)])
+        split = F.explode(F.transform(picks, lambda j: F.xxhash64("path", j, F.element_at("samples", j)))).alias("path")
+        rows = store(large.join(alike, "path", "left_anti").select("id", "samples", split), "join-level")
     found = store(done, "join-members")
     once = found.groupBy("size", "who").agg(F.min("path").alias("path"))
     return found.join(once.select("path"), "path", "left_semi").select("path", "id", "size")
 
 
+def units(found: DataFrame) -> DataFrame:
+    """path, low, high, id, tile, paths: which tiles meet, one row per member and unit of work.
+
+    Most members of a bucket often have the same first bucket, where they have met already. Their tiles (numbered first)
+    meet only the tiles of the other members.
+    """
+    paths = found.groupBy("id").agg(F.sort_array(F.collect_set("path")).alias("paths"))
+    members = found.join(paths, "id").withColumn("origin", F.element_at("paths", 1))
+    met = members.where(F.col("origin") < F.col("path")).groupBy("path", "origin").agg(F.count(F.lit(1)).alias("n"))
+    met = met.groupBy("path").agg(F.max(F.struct("n", "origin")).alias("met"))
+    members = members.join(met, "path", "left")
+    old = F.coalesce(F.col("origin") == F.col("met.origin"), F.lit(False))
+    n_old = F.coalesce("met.n", F.lit(0))
+    m_old, m_new = F.ceil(n_old / TILE).cast("int"), F.ceil((F.col("size") - n_old) / TILE).cast("int")
+    spot = F.xxhash64("id", F.lit(7))
+    tile = F.when(old, F.pmod(spot, F.greatest(m_old, F.lit(1)))).otherwise(m_old + F.pmod(spot, F.greatest(m_new, F.lit(1)))).cast("int")
+    members = members.select("path", "id", "paths", tile.alias("tile"), F.when(old, m_old).otherwise(0).alias("from"), (m_old + m_new).alias("to"))
+    every = F.explode(F.filter(F.sequence(F.lit(0), F.col("to")), lambda k: (k >= F.col("from")) & (k < F.col("to")))).alias("other")
+    met_tiles = members.select("path", "id", "paths", "tile", every)
+    return met_tiles.select("path", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "id", "tile", "paths")
+
+
 def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of similar sets: within ``left``, or between ``left`` and ``right``."""
     inside = right is None
@@ -243,17 +280,10 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     marked = store(sketches(docs, key, text), "join-sketches")
     kinds = marked.where(F.col("n") > 0).groupBy("s1", "s2").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("samples").alias("samples"))
     kinds = store(kinds.withColumn("id", F.monotonically_increasing_id()), "join-classes")
-    found = buckets(kinds.select("id", "samples"))
-    paths = found.groupBy("id").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(7)), tiles).cast("int")
-    units = found.select("path", "id", tiles.alias("tiles"), own.alias("tile"))
-    units = units.select("path", "id", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    units = units.select("path", "id", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
-    facts = kinds.select("id", "s1", "s2", "copies", "rep").join(paths, "id")
-    units = units.join(facts, "id").withColumn("spelled", _spelled(F.col("rep")))
+    work = units(buckets(kinds.select("id", "samples")))
+    work = work.join(kinds.select("id", "s1", "s2", "copies", _spelled(F.col("rep")).alias("spelled")), "id")
     texts = docs.select(_spelled(F.col(key)).alias("spelled"), as_text(text).alias("text"))
-    work = texts.join(units, "spelled").select(*_UNIT)
+    work = texts.join(work, "spelled").select(*_UNIT)
     work = work.repartition("path", "low", "high").sortWithinPartitions("path", "low", "high")
     linked = store(work.mapInArrow(_verify_task, "a bigint, b bigint, n bigint"), "join-links")
     links = linked.where(F.col("b").isNull()).groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("others"))
