@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from ripecast.llm.common import as_text, fresh
 
-KNOWN_PIECES = 1 << 20
+KNOWN_PIECES = 1 << 19
 _BUCKETS = 1 << 17
-_IN = 8 << 20
+_IN = 4 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -151,7 +151,7 @@ def _row_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 def _encode_task(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger, _, _ = _tokens(path)
-        known: dict[str, list[int]] = {}
+        known: dict[str, bytes] = {}
         for batch in batches:
             names = batch.schema.names
             for row, end in _row_blocks(batch.column(batch.num_columns - 1), _IN):
@@ -164,16 +164,16 @@ def _encode_task(path: str):
                     if ids is None:
                         if len(known) >= KNOWN_PIECES:
                             known.clear()
-                        ids = known[piece] = merger.ids(piece.encode())
+                        ids = known[piece] = np.array(merger.ids(piece.encode()), "<u4").tobytes()
                     found.append(ids)
                 offsets = np.zeros(len(found) + 1, np.int64)
-                np.cumsum([len(x) for x in found], out=offsets[1:])
-                flat = np.fromiter((i for x in found for i in x), np.uint32, int(offsets[-1]))
+                np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+                flat = np.frombuffer(b"".join(found), "<u4")
                 ids, starts = gather(flat, offsets, np.asarray(coded.indices, np.int64))
                 rows = np.asarray(lists.offsets, np.int64)
                 bounds = starts[rows - rows[0]]
                 kept = [part.column(k) for k in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*kept, _binary(ids.astype("<u4"), bounds * 4)], names=[*names[:-1], names[-1]])
+                yield pa.RecordBatch.from_arrays([*kept, _binary(ids, bounds * 4)], names=[*names[:-1], names[-1]])
 
     return run
 
