@@ -4,8 +4,11 @@ Equal vectors of a label are one class with a count. The graph starts from block
 of a label whose signs agree along a few random directions (about ``BLOCK`` vectors a block, large ones split by hash).
 Then neighbours of neighbours are compared: around every vector its own neighbours and those that have it as a
 neighbour meet (in chunks, so that a popular vector does not make a large task), and each keeps the ``K`` most similar.
-A list that is full of links is saturated, so lists are enlarged to the whole component they belong to: the members of
-each component of links are compared with each other in tiles, which makes the link counts inside it exact.
+A list that is full of links is saturated and may lack others, so lists are enlarged beyond the component they belong
+to: saturated vectors descend again for their most similar partners in OTHER components, links found that way join
+components, and this repeats until it finds none (a pair that both lists lack has both lists saturated, and the best
+partner outside is a link if any is). Then the members of each component are compared with each other in tiles, which
+makes the link counts inside it exact.
 
 The result is audited: for at most ``AUDIT`` vectors, chosen by hash, all links are counted by brute force. While the
 recall is under ``RECALL``, another round adds new tables and refines again.
@@ -88,17 +91,18 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordB
 
 
 def _meet_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare all members of a group; each gets its best partners that beat what it has (column ``least``)."""
+    """Compare all members of a group; each gets its best partners of other parts that beat what it has (column ``least``)."""
     found: list[tuple] = []
     for group in _groups(batches, 2):
         n = group.num_rows
         if n < 2:
             continue
         ids = group.column(2).to_numpy()
-        least = group.column(3).to_numpy()
-        x = _matrix(group.column(4))
+        part = group.column(3).to_numpy()
+        least = group.column(4).to_numpy()
+        x = _matrix(group.column(5))
         sims = x @ x.T
-        sims[ids[:, None] == ids[None, :]] = -2.0
+        sims[part[:, None] == part[None, :]] = -2.0
         take = min(K, n - 1)
         best = np.argpartition(-sims, take - 1, axis=1)[:, :take]
         for k in range(n):
@@ -153,14 +157,14 @@ def _sign_task(seed: int):
 
 
 def _together(groups: DataFrame, vectors: DataFrame, lists: DataFrame | None) -> DataFrame:
-    """(a, b, sim) of the partners found in groups (g1, g2, id)."""
-    rows = groups.join(vectors.select("id", "vec"), "id")
+    """(a, b, sim) of the partners of another ``part`` found in groups (g1, g2, id)."""
+    rows = groups.join(vectors.select("id", "part", "vec"), "id")
     if lists is None:
         rows = rows.withColumn("least", F.lit(-2.0))
     else:
         floor = lists.groupBy(F.col("a").alias("id")).agg(F.when(F.count(F.lit(1)) >= K, F.min("sim")).otherwise(-2.0).alias("least"))
         rows = rows.join(floor, "id", "left").withColumn("least", F.coalesce("least", F.lit(-2.0)))
-    rows = rows.select("g1", "g2", "id", "least", "vec").repartition("g1", "g2").sortWithinPartitions("g1", "g2")
+    rows = rows.select("g1", "g2", "id", "part", "least", "vec").repartition("g1", "g2").sortWithinPartitions("g1", "g2")
     return rows.mapInArrow(_meet_task, "a bigint, b bigint, sim double")
 
 
@@ -200,13 +204,15 @@ def _around(lists: DataFrame) -> DataFrame:
     return into.unionByName(own.select("g1", every, "id")).distinct()
 
 
-def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int) -> DataFrame:
+def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, inner: DataFrame | None = None) -> DataFrame:
+    """Lists (a, b, sim) of the most similar partners of another ``part``; paths also lead over the lists ``inner``."""
     found = _together(_blocks(vectors, seed), vectors, lists).withColumn("fresh", F.lit(True))
     if lists is not None:
         found = found.unionByName(lists.withColumn("fresh", F.lit(False)))
     lists = store(_best(found), "nn-lists")
     for _ in range(ITERATIONS):
-        new = _together(_around(lists), vectors, lists).withColumn("fresh", F.lit(True))
+        paths = lists if inner is None else lists.unionByName(inner.withColumn("fresh", F.lit(False)))
+        new = _together(_around(paths), vectors, lists).withColumn("fresh", F.lit(True))
         lists = store(_best(new.unionByName(lists.withColumn("fresh", F.lit(False)))), "nn-lists")
         counts = lists.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("fresh"), 1)).alias("new")).first()
         if counts["new"] <= STEADY * max(1, counts["n"]):
@@ -214,9 +220,33 @@ def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int) -> DataFram
     return lists
 
 
-def _linked(vectors: DataFrame, lists: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(id, others) and the roots of the components: links inside each component of list links, compared in tiles."""
-    roots = components(lists.where(F.col("sim") >= threshold).select("a", "b"))
+def _saturated(lists: DataFrame, threshold: float) -> DataFrame:
+    """id of the vectors whose list is full of links."""
+    return lists.where(F.col("sim") >= threshold).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("id")
+
+
+def _enlarged(vectors: DataFrame, lists: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """Roots of the components of list links and of the links that saturated lists lack."""
+    links = lists.where(F.col("sim") >= threshold).select("a", "b")
+    full = vectors.drop("part").join(_saturated(lists, threshold), "id")
+    inner = lists.join(full.select(F.col("id").alias("a")), "a", "left_semi").join(full.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b", "sim")
+    while True:
+        roots = components(links)
+        open_ = full.join(roots.select(F.col("vertex").alias("id"), F.col("root").alias("part")), "id")
+        several = open_.groupBy("room").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+        open_ = store(open_.join(several.select("room"), "room", "left_semi").select(*vectors.columns), "nn-saturated")
+        if open_.isEmpty():
+            return roots
+        ids = open_.select(F.col("id").alias("a"))
+        across = _descend(open_, None, seed, inner.join(ids, "a", "left_semi")).where(F.col("sim") >= threshold).select("a", "b")
+        if across.isEmpty():
+            return roots
+        links = store(links.unionByName(across), "nn-across")
+        seed += ROUNDS
+
+
+def _linked(vectors: DataFrame, roots: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, others) and the roots of the components: links inside each of the parts ``roots``, compared in tiles."""
     member = roots.join(vectors.select(F.col("id").alias("vertex"), "copies"), "vertex")
     sizes = member.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     units = member.join(sizes, "root").select("root", "vertex", "copies", "tiles", F.pmod(F.xxhash64("vertex"), F.col("tiles")).cast("int").alias("tile"))
@@ -264,11 +294,11 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     kind = rows.schema[key].dataType.simpleString()
     every = store(slim.mapInArrow(_valid_task, f"key {kind}, label string, vec binary").withColumn("room", F.when(F.col("vec").isNotNull(), F.concat("label", F.lit("/"), F.octet_length("vec").cast("string")))), "nn-rows")
     classes = every.where(F.col("room").isNotNull()).groupBy("room", "vec").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("copies"))
-    vectors = store(classes.withColumn("id", F.monotonically_increasing_id()), "nn-classes")
+    vectors = store(classes.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.col("id")), "nn-classes")
     lists = None
     for k in range(ROUNDS):
         lists = _descend(vectors, lists, k + 1)
-        counts, roots = _linked(vectors, lists, threshold)
+        counts, roots = _linked(vectors, _enlarged(vectors, lists, threshold, k + 1), threshold)
         counts = store(counts, "nn-counts")
         if audit(vectors, counts, threshold) >= RECALL:
             break

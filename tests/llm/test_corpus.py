@@ -416,6 +416,33 @@ def test_vectors_by_brute_force(spark):
     assert nn_descent.near_duplicates(table.limit(0)).count() == 0
 
 
+def two_clusters(n, label, first, r):
+    """Two clusters of ``n`` vectors: over 0.999 within a cluster, over 0.98 and under 0.999 across."""
+    away = np.arccos(0.9855)
+    centres = np.eye(24)[0], np.cos(away) * np.eye(24)[0] + np.sin(away) * np.eye(24)[1]
+    return [(first + k * n + i, (c + 0.002 * r.standard_normal(24)).tolist(), label) for k, c in enumerate(centres) for i in range(n)]
+
+
+def cosines(rows):
+    x = np.array([v[1] for v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return x @ x.T
+
+
+def test_links_between_saturated_clusters(spark):
+    r = np.random.default_rng(8)
+    rows = two_clusters(12, "a", 0, r)
+    sims = cosines(rows)
+    assert sims[:12, :12].min() > 0.999 > sims[:12, 12:].max() and sims.min() > 0.98
+    rows += two_clusters(40, "b", 100, r)
+    rows += [(1000 + k, r.standard_normal(24).tolist(), "ab"[k % 2]) for k in range(100)]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    got = {x.key: (x.n_links, x.component) for x in nn_descent.near_duplicates(table).collect()}
+    assert [got[k] for k in range(24)] == [(23, 0)] * 24
+    assert [got[k] for k in range(100, 180)] == [(79, 100)] * 80
+    assert all(got[k] == (0, k) for k in range(1000, 1100))
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 
