@@ -10,8 +10,11 @@ components, and this repeats until it finds none (a pair that both lists lack ha
 partner outside is a link if any is). Then the members of each component are compared with each other in tiles, which
 makes the link counts inside it exact.
 
-The result is audited: for at most ``AUDIT`` vectors, chosen by hash, all links are counted by brute force. While the
-recall is under ``RECALL``, another round adds new tables and refines again.
+The result is audited: for at most ``AUDIT`` vectors, half of them among those with few links found, chosen by hash, all
+links are counted by brute force. A label passes when the mean share found per audited vector that has links is at least
+``RECALL``, over all of them and over those with at most ``K`` links. While one fails, another round adds new tables
+(also among the vectors with room in their lists only, so that large groups do not fill the blocks) and refines again.
+Labels that have not passed after ``ROUNDS`` rounds are compared in full, in tiles, with those no audited vector is of.
 
 Every similarity is computed in double precision, and only pairs at ``threshold`` or more are links. Vectors take part in
 joins with one row per list entry; tiles and blocks bound what a task holds; counts, not pairs, leave the tiles.
@@ -186,33 +189,37 @@ def _blocks(vectors: DataFrame, seed: int) -> DataFrame:
     each = each.select("id", block.alias("g1"))
     count = each.groupBy("g1").agg(F.count(F.lit(1)).alias("size"))
     parts = F.ceil(F.col("size") / (2 * BLOCK))
-    return each.join(count, "g1").select("g1", F.pmod(F.xxhash64("id", F.lit(seed)), parts).alias("g2"), "id")
+    return each.join(count, "g1").select("g1", F.pmod(F.xxhash64("id", "g1", F.lit(seed)), parts).alias("g2"), "id")
 
 
-def _around(lists: DataFrame) -> DataFrame:
-    """Groups (g1, g2, id): every vector with its neighbours, and with those that have it as one, in chunks.
+def _around(lists: DataFrame, seed: int) -> DataFrame:
+    """Groups (g1, g2, id): every vector with its neighbours, and with those that have it as one, in chunks by ``seed``.
 
     Only around vectors that a new list entry touches.
     """
     touched = lists.where("fresh").select(F.col("a").alias("g1")).union(lists.where("fresh").select("b")).distinct()
     back = lists.groupBy(F.col("b").alias("g1")).agg(F.count(F.lit(1)).alias("degree")).join(touched, "g1")
     chunks = F.ceil(F.col("degree") / (2 * K))
-    into = lists.select(F.col("b").alias("g1"), F.col("a").alias("id")).join(back, "g1").select("g1", F.pmod(F.xxhash64("id"), chunks).alias("g2"), "id")
+    into = lists.select(F.col("b").alias("g1"), F.col("a").alias("id")).join(back, "g1").select("g1", F.pmod(F.xxhash64("id", F.lit(seed)), chunks).alias("g2"), "id")
     own = lists.select(F.col("a").alias("g1"), F.col("b").alias("id")).join(back.select("g1", chunks.alias("n")).unionByName(
         touched.join(back.select("g1"), "g1", "left_anti").select("g1", F.lit(1).cast("bigint").alias("n"))), "g1")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("g2")
     return into.unionByName(own.select("g1", every, "id")).distinct()
 
 
-def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, inner: DataFrame | None = None) -> DataFrame:
-    """Lists (a, b, sim) of the most similar partners of another ``part``; paths also lead over the lists ``inner``."""
-    found = _together(_blocks(vectors, seed), vectors, lists).withColumn("fresh", F.lit(True))
+def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, inner: DataFrame | None = None, unfilled: DataFrame | None = None) -> DataFrame:
+    """Lists (a, b, sim) of the most similar partners of another ``part``; paths also lead over the lists ``inner``, and
+    the vectors ``unfilled`` meet in blocks of their own as well."""
+    groups = _blocks(vectors, seed)
+    if unfilled is not None:
+        groups = groups.unionByName(_blocks(unfilled, seed + 1_000_000))
+    found = _together(groups, vectors, lists).withColumn("fresh", F.lit(True))
     if lists is not None:
         found = found.unionByName(lists.withColumn("fresh", F.lit(False)))
     lists = store(_best(found), "nn-lists")
-    for _ in range(ITERATIONS):
+    for step in range(ITERATIONS):
         paths = lists if inner is None else lists.unionByName(inner.withColumn("fresh", F.lit(False)))
-        new = _together(_around(paths), vectors, lists).withColumn("fresh", F.lit(True))
+        new = _together(_around(paths, seed * ITERATIONS + step), vectors, lists).withColumn("fresh", F.lit(True))
         lists = store(_best(new.unionByName(lists.withColumn("fresh", F.lit(False)))), "nn-lists")
         counts = lists.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("fresh"), 1)).alias("new")).first()
         if counts["new"] <= STEADY * max(1, counts["n"]):
@@ -259,33 +266,51 @@ def _linked(vectors: DataFrame, roots: DataFrame, threshold: float) -> tuple[Dat
     return counts, components(found.where(F.col("b").isNotNull()).select("a", "b"))
 
 
-def audit(vectors: DataFrame, counts: DataFrame, threshold: float, most: int = AUDIT) -> float:
-    """Share of the true links of a bounded, hash-chosen set of vectors that were found; each vector is compared with
-    all others of its room, block by block."""
-    chosen = vectors.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(most).select("id", "room", "vec").collect()
-    if not chosen:
-        return 1.0
+def audit(vectors: DataFrame, counts: DataFrame, threshold: float, most: int = AUDIT) -> dict[str, float]:
+    """Recall by room, of a bounded, hash-chosen set of vectors; half of it has few links as found.
+
+    The lesser of the mean shares of links found: per vector that has links, and per vector that has at most ``K``. Each
+    vector is compared with all others of its room, block by block. Rooms with no vector in the set are left out.
+    """
+    found = vectors.select("id", "room", "vec").join(counts, "id", "left").withColumn("others", F.coalesce("others", F.lit(0)))
+    order = (F.xxhash64("id", F.lit(11)), F.col("id"))
+    few = found.where(F.col("others") <= K).orderBy(*order).limit(most // 2).collect()
+    more = found.orderBy(*order).limit(most - most // 2).collect()
+    chosen = {r["id"]: r for r in few + more}
     rooms: dict[str, tuple[list[int], np.ndarray]] = {}
-    for room in {r["room"] for r in chosen}:
-        own = [r for r in chosen if r["room"] == room]
+    for room in {r["room"] for r in chosen.values()}:
+        own = [r for r in chosen.values() if r["room"] == room]
         rooms[room] = ([r["id"] for r in own], _matrix(pa.array([bytes(r["vec"]) for r in own])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), object)
-            found = []
+            hits = []
             for room in set(names) & rooms.keys():
                 at = np.flatnonzero(names == room)
                 part = batch.take(pa.array(at))
                 ids, x = rooms[room]
                 hit = x @ _matrix(part.column(2)).T >= threshold
                 hit &= np.array(ids)[:, None] != part.column(0).to_numpy()[None, :]
-                found += [(i, None, float(n)) for i, n in zip(ids, hit @ part.column(3).to_numpy())]
-            yield _rows(found)
+                hits += [(i, None, float(n)) for i, n in zip(ids, hit @ part.column(3).to_numpy())]
+            yield _rows(hits)
 
-    true = vectors.select("id", "room", "vec", "copies").mapInArrow(run, "a bigint, b bigint, sim double").groupBy(F.col("a").alias("id")).agg(F.sum("sim").alias("true"))
-    total = true.join(counts, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.coalesce("others", F.lit(0))).alias("f")).first()
-    return float(total["f"] / total["t"]) if total["t"] else 1.0
+    true = vectors.select("id", "room", "vec", "copies").mapInArrow(run, "a bigint, b bigint, sim double").groupBy("a").agg(F.sum("sim").alias("true"))
+    shares: dict[str, list[tuple[float, float]]] = {room: [] for room in rooms}
+    for r in true.where(F.col("true") > 0).collect():
+        shares[chosen[r["a"]]["room"]].append((r["true"], min(1.0, chosen[r["a"]]["others"] / r["true"])))
+    recall = {}
+    for room, each in shares.items():
+        means = [sum(part) / len(part) for part in ([s for _, s in each], [s for n, s in each if n <= K]) if part]
+        recall[room] = min(means, default=1.0)
+    return recall
+
+
+def _rest_whole(vectors: DataFrame, roots: DataFrame, passed: list[str]) -> DataFrame:
+    """Roots, with every room that is not in ``passed`` as one part."""
+    rest = vectors.join(F.broadcast(vectors.sparkSession.createDataFrame([(room,) for room in passed], "room string")), "room", "left_anti")
+    whole = rest.join(rest.groupBy("room").agg(F.min("id").alias("root")), "room").select(F.col("id").alias("vertex"), "root")
+    return whole.unionByName(roots.join(whole, "vertex", "left_anti").select("vertex", "root"))
 
 
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD) -> DataFrame:
@@ -295,13 +320,20 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     every = store(slim.mapInArrow(_valid_task, f"key {kind}, label string, vec binary").withColumn("room", F.when(F.col("vec").isNotNull(), F.concat("label", F.lit("/"), F.octet_length("vec").cast("string")))), "nn-rows")
     classes = every.where(F.col("room").isNotNull()).groupBy("room", "vec").agg(F.min("key").alias("low"), F.count(F.lit(1)).alias("copies"))
     vectors = store(classes.withColumn("id", F.monotonically_increasing_id()).withColumn("part", F.col("id")), "nn-classes")
-    lists = None
+    lists = unfilled = None
     for k in range(ROUNDS):
-        lists = _descend(vectors, lists, k + 1)
-        counts, roots = _linked(vectors, _enlarged(vectors, lists, threshold, k + 1), threshold)
+        lists = _descend(vectors, lists, k + 1, unfilled=unfilled)
+        joined = _enlarged(vectors, lists, threshold, k + 1)
+        counts, roots = _linked(vectors, joined, threshold)
         counts = store(counts, "nn-counts")
-        if audit(vectors, counts, threshold) >= RECALL:
+        recall = audit(vectors, counts, threshold)
+        if all(share >= RECALL for share in recall.values()):
             break
+        unfilled = vectors.join(_saturated(lists, threshold), "id", "left_anti")
+    else:
+        passed = [room for room, share in recall.items() if share >= RECALL]
+        counts, roots = _linked(vectors, _rest_whole(vectors, joined, passed), threshold)
+        counts = store(counts, "nn-counts")
     group = vectors.join(roots.select(F.col("vertex").alias("id"), "root"), "id", "left").join(counts, "id", "left")
     group = group.select("room", "vec", "low", F.coalesce("root", "id").alias("root"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     heads = group.groupBy("root").agg(F.min("low").alias("component"))

@@ -443,6 +443,42 @@ def test_links_between_saturated_clusters(spark):
     assert all(got[k] == (0, k) for k in range(1000, 1100))
 
 
+def crowded(r):
+    """A third of a label in one group of near copies, 40 pairs near them but not linked with them, and others."""
+    e = np.eye(24)
+    rows = [(k, (e[0] + 0.001 * r.standard_normal(24)).tolist(), 1) for k in range(300)]
+    for k in range(40):
+        side = r.standard_normal(24)
+        side[0] = 0
+        pair = np.cos(0.3) * e[0] + np.sin(0.3) * side / np.linalg.norm(side)
+        rows += [(1000 + 2 * k + i, (pair + 0.001 * r.standard_normal(24)).tolist(), 1) for i in range(2)]
+    return rows + [(2000 + k, r.standard_normal(24).tolist(), 1) for k in range(520)]
+
+
+def test_vector_audit_counts_vectors_not_links(spark):
+    rows = crowded(np.random.default_rng(9))
+    hit = cosines(rows) >= 0.98
+    np.fill_diagonal(hit, False)
+    true = hit.sum(axis=1)
+    vec = [(k, "r", np.array(v[1], "<f8").tobytes(), 1) for k, v in enumerate(rows)]
+    vectors = spark.createDataFrame(vec, "id bigint, room string, vec binary, copies bigint")
+    counts = lambda few: spark.createDataFrame([(k, int(n)) for k, n in enumerate(true) if n > (0 if few else 10)], "id bigint, others bigint")
+    assert nn_descent.audit(vectors, counts(True), 0.98) == {"r": 1.0}
+    assert nn_descent.audit(vectors, counts(False), 0.98)["r"] == 0.0
+
+
+def test_vectors_whole_where_no_round_passes(spark, monkeypatch):
+    rows = crowded(np.random.default_rng(10))
+    hit = cosines(rows) >= 0.98
+    np.fill_diagonal(hit, False)
+    want = {v[0]: int(n) for v, n in zip(rows, hit.sum(axis=1))}
+    nothing = spark.createDataFrame([], "a bigint, b bigint, sim double, fresh boolean")
+    monkeypatch.setattr(nn_descent, "_descend", lambda *a, **b: nothing)
+    monkeypatch.setattr(nn_descent, "ROUNDS", 1)
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert {x.key: x.n_links for x in nn_descent.near_duplicates(table).collect()} == want
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 
