@@ -29,6 +29,7 @@ from ripecast.llm.common import as_text, fresh
 
 ROWS_PER_CLASS = 4_000
 SAMPLE_BYTES = 12 << 20
+LONGEST_SHARE = 64
 DICTIONARY_BYTES = 112 << 10
 PIECE = 2_048
 LEVEL = 3
@@ -70,12 +71,19 @@ def difference(good: Sizes, bad: Sizes, text: bytes | memoryview) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int = ROWS_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """key, text, label of the bounded sample. The chosen keys are at most two times ``rows`` and are broadcast."""
+    """key, text, label of the bounded sample. The chosen keys are at most two times ``rows`` and are broadcast.
+
+    A text longer than one ``LONGEST_SHARE``th of ``most_bytes`` takes part with its beginning, so that no single text
+    uses up the sample of its class.
+    """
     order = F.md5(F.col("k").cast("string"))
     known = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where(F.col("k").isNotNull() & F.col("y").isin(0, 1))
     chosen = [known.where(F.col("y") == y).orderBy(order, "k").limit(rows) for y in (0, 1)]
     keys = chosen[0].unionByName(chosen[1])
     found = docs.select(F.col(key).alias("k"), as_text(text).alias("text")).join(F.broadcast(keys), "k")
+    longest = most_bytes // LONGEST_SHARE
+    start = F.when(F.octet_length("text") > longest, F.substring("text", 1, longest // 4)).otherwise(F.col("text"))
+    found = found.withColumn("text", start)
     sofar = Window.partitionBy("y").orderBy(order, "k").rowsBetween(Window.unboundedPreceding, 0)
     sized = found.withColumn("bytes", F.sum(F.octet_length("text")).over(sofar))
     return sized.where(F.col("bytes") <= most_bytes).select(F.col("k").alias("key"), "text", F.col("y").alias("label"))

@@ -273,6 +273,16 @@ def test_scores_of_edge_texts(spark):
     assert compress_quality.learn(docs.limit(0), spark.createDataFrame([], "doc_id bigint, quality int")).slope == 0
 
 
+def test_sample_outlives_a_long_text(spark):
+    texts = [(k, prose(10, k)) for k in range(20)]
+    first = min(range(0, 20, 2), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    docs = spark.createDataFrame([(k, t * 5_000 if k == first else t) for k, t in texts], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id bigint, quality int")
+    got = {r.key: r.text for r in compress_quality.labelled_sample(docs, labels, "doc_id", "text", "quality", most_bytes=64 << 10).collect()}
+    assert got.keys() == {k for k, _ in texts}
+    assert all(got[k] == t for k, t in texts if k != first) and len(got[first]) == 256
+
+
 # --- Jaccard join ----------------------------------------------------------------------------------------------------
 
 
