@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripecast.llm import bpe, compress_quality, jaccard_join, mixing, nn_descent, pii, quality_rules, sharding, suffix_dedup, warc
+from ripecast.llm import bpe, compress_quality, hard_negatives, jaccard_join, mixing, nn_descent, pii, quality_rules, sharding, suffix_dedup, toxicity, warc, whitening
 from ripecast.llm.common import read, scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -101,6 +101,33 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    scored = toxicity.score(docs, labels)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label").cast("bigint"))
+    rows = rows.withColumn("label", moved).withColumn("anchor", F.coalesce(F.col("vec_id") % 100 == 0, F.lit(False)))
+    return hard_negatives.mine(rows, "vec_id", "label", "embedding", "anchor").select(
+        F.col("anchor_key").alias("anchor_id"),
+        F.col("positive_key").alias("positive_id"),
+        "rank",
+        F.col("negative_key").alias("negative_id"),
+        "positive_score",
+        "negative_score",
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
+    return found.withColumnRenamed("key", "vec_id")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op7_warc": op7_warc,
@@ -112,6 +139,9 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_sharding": op6_sharding,
+    "op11_toxicity": op11_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 SQL = {}
@@ -326,3 +356,23 @@ SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+SQL["op12_hard_negatives"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding::DOUBLE[], lambda c: floor(256 * c)) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding::DOUBLE[], lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.rid AS arid, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.rid <> b.rid AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT arid, anchor_id, other_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY arid ORDER BY score DESC, other_id) AS j
+  FROM s WHERE same QUALIFY j <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.arid, p.j ORDER BY score DESC, other_id)::INT AS rank
+  FROM p JOIN s ON p.arid = s.arid AND NOT s.same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
