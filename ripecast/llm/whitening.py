@@ -135,7 +135,8 @@ def _factor(gram: np.ndarray) -> tuple[np.ndarray, bool]:
         return np.linalg.cholesky(gram).T, True
     except np.linalg.LinAlgError:
         values, vectors = np.linalg.eigh(gram)
-        return np.sqrt(np.maximum(values, 0.0))[:, None] * vectors.T, False
+        noise = values.max() * len(values) * np.finfo(float).eps * 16
+        return np.sqrt(np.where(values > noise, values, 0.0))[:, None] * vectors.T, False
 
 
 def orthogonalise(rows: DataFrame, stats: dict[int, tuple[int, list[int]]]) -> dict[int, np.ndarray]:
