@@ -1,6 +1,6 @@
 """Data-quality checks. Each check returns its failing rows; a report counts the failures of many.
 
-Row checks of one table share one pass. Uniqueness checks are grouped counts, combined map-side.
+The checks of a table, or of tables that hold the same rows, share one grouped pass: see ``shared_report``.
 """
 
 from __future__ import annotations
@@ -96,34 +96,63 @@ def missing(*columns: str) -> list[Check]:
     return [RowCheck(c, "not_null", is_missing(c)) for c in columns]
 
 
+def flag(check: RowCheck) -> Column:
+    """1 where a row fails, else 0."""
+    return F.coalesce(check.condition, F.lit(False)).cast("bigint")
+
+
+def lines(counts: DataFrame, found: Sequence[tuple[str, Check, Column]]) -> DataFrame:
+    """A one-row frame of counts to a row per check: table_name, column_name, check_name, failures."""
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(check.column).alias("column_name"),
+            F.lit(check.check).alias("check_name"),
+            F.coalesce(failures.cast("bigint"), F.lit(0).cast("bigint")).alias("failures"),
+        )
+        for table, check, failures in found
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def repeated(check: KeyCheck, n: Column) -> Column:
+    """Whether a key that stands ``n`` times fails; ``unique`` leaves NULLs to the not-null check."""
+    known = [F.col(c).isNotNull() for c in check.columns] if check.check == "unique" else []
+    return reduce(lambda a, b: a & b, known, n > 1)
+
+
+def shared_report(df: DataFrame, checks: Mapping[str, Sequence[Check]]) -> DataFrame:
+    """The checks of one table, or of several that hold the same rows, compiled into one grouped pass.
+
+    The rows are grouped by the key of the first key check; each group carries its size and its row-check sums, which
+    are combined map-side, and one aggregate over the groups finishes all checks. A condition that several tables share
+    is evaluated once. Further keys take a pass each.
+    """
+    named = [(table, c) for table, many in checks.items() for c in many]
+    rows = {(c.column, c.check): c for _, c in named if isinstance(c, RowCheck)}
+    keys = {(c.columns, c.check): c for _, c in named if isinstance(c, KeyCheck)}
+    place = {k: f"r{i}" for i, k in enumerate(rows)}
+    sums = [F.sum(flag(c)).alias(place[k]) for k, c in rows.items()]
+    first = next(iter(keys), None)
+    if first is None:
+        counts = df.agg(*sums)
+    else:
+        groups = df.groupBy(*first[0]).agg(F.count(F.lit(1)).alias("_n"), *sums)
+        fails = F.count_if(repeated(keys[first], F.col("_n"))).alias("k")
+        counts = groups.agg(fails, *[F.sum(p).alias(p) for p in place.values()])
+    found = [(t, c, F.col(place[c.column, c.check])) for t, c in named if isinstance(c, RowCheck)]
+    found += [(t, c, F.col("k")) for t, c in named if isinstance(c, KeyCheck) and (c.columns, c.check) == first]
+    parts = [lines(counts, found)]
+    for k, c in keys.items():
+        if k != first:
+            counts = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_n")).agg(F.count_if(repeated(c, F.col("_n"))).alias("k"))
+            parts.append(lines(counts, [(t, c, F.col("k")) for t, other in named if other == c]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table_report(name: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check of one table: table_name, column_name, check_name, failures."""
-    parts = []
-    rows = [c for c in checks if isinstance(c, RowCheck)]
-    if rows:
-        counted = df.agg(*[F.count_if(c.condition).alias(f"n{i}") for i, c in enumerate(rows)])
-        lines = [
-            F.struct(
-                F.lit(name).alias("table_name"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.check).alias("check_name"),
-                F.col(f"n{i}").alias("failures"),
-            )
-            for i, c in enumerate(rows)
-        ]
-        parts.append(counted.select(F.inline(F.array(*lines))))
-    for c in checks:
-        if isinstance(c, KeyCheck):
-            repeated = duplicates(df, *c.columns, skip_null=c.check == "unique")
-            parts.append(
-                repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(c.column).alias("column_name"),
-                    F.lit(c.check).alias("check_name"),
-                    "failures",
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    return shared_report(df, {name: checks})
 
 
 def report(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]]) -> DataFrame:

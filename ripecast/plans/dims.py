@@ -18,8 +18,8 @@ from ripecast.operators.timeseries import (
 )
 
 
-def int_sales(stg: DataFrame) -> DataFrame:
-    """Sales with clipped units, their log, and a promotion flag without NULLs."""
+def int_sales(stg: DataFrame, *carried: str) -> DataFrame:
+    """Sales with clipped units, their log, and a promotion flag without NULLs, and the ``carried`` columns as they are."""
     units = clip_units(F.col("unit_sales"))
     return stg.select(
         "id",
@@ -29,6 +29,7 @@ def int_sales(stg: DataFrame) -> DataFrame:
         F.coalesce("onpromotion", F.lit(False)).alias("onpromotion"),
         units.alias("unit_sales"),
         log_units(units).alias("log_sales"),
+        *carried,
     )
 
 

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from functools import cache, cached_property
+from functools import cache, cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
 from ripecast import schemas
-from ripecast.functions import shard_of
 from ripecast.operators import kpis, policy, quality
 from ripecast.operators.series import MAX_SERIES_ROWS
-from ripecast.plans import contracts, dims, fact, features, staging
-from ripecast.sources import files, tables
+from ripecast.plans import contracts, dims, fact, features, sales_checks, staging
+from ripecast.sources import files, snapshots, tables
 from ripecast.sources.deliveries import read_raw
 from ripecast.sources.sample_retail import SPLIT, SampleRetail
 
@@ -33,6 +32,31 @@ LAYERS: list[tuple[str, str | None, list[str]]] = [
 ]
 
 
+def policy_tables(spark: SparkSession, base: str) -> dict[str, snapshots.SliceTable]:
+    """The tables that a policy run keeps, by name."""
+    evaluation = f"{schemas.POLICY['eval']}, time_to_expiry BIGINT"
+    made = lambda name, schema, **more: snapshots.SliceTable(spark, f"{base}/{name}", schema, "date", **more)
+    return {
+        "policy_candidates": made("policy_candidates", schemas.POLICY["candidates"], cluster=K.SERIES),
+        "policy_choice": made("policy_choice", schemas.POLICY["choice"], cluster=K.SERIES),
+        "policy_eval": made("policy_eval", evaluation, cluster=K.SERIES),
+        "policy_eval_csv": made("policy_eval_csv", evaluation, cluster=K.SERIES, format="csv"),
+        "kpi_states": made("kpi_states", kpis.STATE),
+    }
+
+
+def kpis_of(states: DataFrame) -> dict[str, DataFrame]:
+    """The four KPI tables from day states."""
+    return {
+        "kpi_overall": kpis.overall_of(states),
+        "kpi_by_date": kpis.by_date_of(states),
+        "kpi_by_expiry": kpis.by_expiry_of(states),
+        "kpi_discount_dist": kpis.discount_distribution_of(states),
+    }
+
+
+# Tables and the tables that are their rows under another name.
+TWINS = [("stg_stores", "dim_stores"), ("int_oil_prices", "dim_oil_prices"), ("int_holidays", "dim_holidays")]
 # The file that names the folder of the last complete build.
 CURRENT = "CURRENT"
 
@@ -53,6 +77,7 @@ class Warehouse:
         self.raw = cache(raw)
         self.split = dict(split or {})
         self.max_rows = max_rows
+        self._stored = False
 
     @classmethod
     def from_sample(cls, spark: SparkSession, folder: str) -> Warehouse:
@@ -170,6 +195,7 @@ class Warehouse:
             self._forget()
             raise
         files.write_text(table.sparkSession, f"{root}/{CURRENT}", version)
+        self._stored = True
         return self
 
     def open(self, spark: SparkSession, root: str) -> Warehouse:
@@ -178,10 +204,12 @@ class Warehouse:
         version = files.read_text(spark, f"{root}/{CURRENT}").strip()
         for name, _, _ in LAYERS:
             self.__dict__[name] = tables.read_table(spark, f"{root}/{version}/{name}", schemas.TABLES[name], contracts.COMMENTS)
+        self._stored = True
         return self
 
     def _forget(self) -> None:
         """Drop what was derived or stored, so that tables are built from the raw side again."""
+        self._stored = False
         for name in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
             del self.__dict__[name]
 
@@ -205,27 +233,32 @@ class Warehouse:
         n_shards: int = 16,
     ) -> dict[str, DataFrame]:
         """Store candidates, choice and evaluation of a slice of days (and of one shard of the series, where given), and
-        the KPIs of the whole stored evaluation. Each ``model`` has tables of its own."""
+        the KPIs of the whole stored evaluation. Each ``model`` has tables of its own.
+
+        Every table is a ``SliceTable``: each of the slices lands whole or not at all. KPIs come from stored day states,
+        of which only the days of the slice are made anew, so a backfill does not reread the evaluation; its CSV form
+        is written by slice too.
+        """
         base = f"{root}/{model}" if model else root
         frame = policy.in_days(self.scoring_frame, start, end)
-        if shard is not None:
-            frame = frame.where(shard_of(n_shards, *[F.col(c) for c in K.SERIES]) == shard)
+        part = None if shard is None else snapshots.Shard(shard, n_shards, tuple(K.SERIES))
+        if part is not None:
+            frame = frame.where(part.holds())
         scored = policy.score_candidates(policy.candidates(frame, grid), scorer)
         evaluation = policy.sweep(frame, scorer, grid, keep=["time_to_expiry"])
-        parts = {
-            "policy_candidates": (scored, schemas.POLICY["candidates"]),
-            "policy_choice": (evaluation.select(*tables.names(frame.sparkSession, schemas.POLICY["choice"])), schemas.POLICY["choice"]),
-            "policy_eval": (evaluation, f"{schemas.POLICY['eval']}, time_to_expiry BIGINT"),
-        }
-        stored = {}
-        for name, (table, schema) in parts.items():
-            tables.write_slice(table, f"{base}/{name}", "date", K.SERIES, start=start, end=end, shard=shard)
-            stored[name] = tables.read_table(frame.sparkSession, f"{base}/{name}", schema)
-        results = self.kpis(stored["policy_eval"])
+        stored = policy_tables(frame.sparkSession, base)
+        stored["policy_candidates"].write(scored, start, end, part)
+        stored["policy_eval"].write(evaluation, start, end, part)
+        fresh = policy.in_days(stored["policy_eval"].read(), start, end)
+        own = fresh if part is None else fresh.where(part.holds())
+        stored["policy_choice"].write(own, start, end, part)
+        stored["policy_eval_csv"].write(own, start, end, part)
+        stored["kpi_states"].write(kpis.day_states(fresh), start, end)
+        states = stored["kpi_states"].read()
+        results = kpis_of(states)
         for name, table in results.items():
             tables.write_csv(table, f"{base}/{name}")
-        tables.write_csv(stored["policy_eval"], f"{base}/policy_eval_csv")
-        return {**stored, **results}
+        return {**{name: table.read() for name, table in stored.items()}, **results}
 
     def store_model_report(self, model: str, metrics: DataFrame, importance: DataFrame, root: str) -> None:
         """Keep a model's metrics and feature importances beside its policy tables."""
@@ -252,7 +285,17 @@ class Warehouse:
         }
 
     def report(self) -> DataFrame:
-        """Failure counts of every contract check."""
+        """Failure counts of every contract check.
+
+        Stored tables are checked one by one, as they are. Before that, tables that are views of the same rows share a
+        pass: staged, cleaned and featured sales read the sales once.
+        """
         checks = contracts.contracts()
-        frames = {t: self.fact if t == "fct_sales_features" else getattr(self, t) for t in checks}
-        return quality.report(frames, checks)
+        frames = {t: lambda t=t: self.fact if t == "fct_sales_features" else getattr(self, t) for t in checks}
+        if self._stored:
+            return quality.report({t: f() for t, f in frames.items()}, checks)
+        parts = [sales_checks.report(self.stg_sales, self.dim_items, self.dim_stores, {t: checks.pop(t) for t in sales_checks.TABLES})]
+        for base, twin in TWINS:
+            parts.append(quality.shared_report(frames[base](), {t: checks.pop(t) for t in (base, twin)}))
+        parts += [quality.table_report(t, frames[t](), c) for t, c in checks.items()]
+        return reduce(DataFrame.unionByName, parts)

@@ -54,7 +54,11 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def checkpoints(spark: SparkSession) -> str:
-    """The checkpoint folder; a scratch folder of this machine where the session names none, as on a single machine."""
+    """The checkpoint folder. On a single machine one is made where the session names none; a cluster must name one that
+    all executors share."""
     if not checkpoint_dir(spark):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ripecast-"))
     return checkpoint_dir(spark)

@@ -1,16 +1,13 @@
-"""Typed tables: partitioned writes, replacement, idempotent slices, views, descriptions and pruned reads."""
+"""Typed tables: partitioned writes, replacement, views, descriptions and pruned reads."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ripecast.sources import files
-
 
 def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str] = ()) -> DataFrame:
     """Group rows by partition value and sort them by the cluster keys.
@@ -36,52 +33,6 @@ def read_table(spark: SparkSession, path: str, schema: str, comments: Mapping[st
     return describe(table.select(*[f.name for f in declared]), comments or {})
 
 
-def write_slice(
-    df: DataFrame,
-    path: str,
-    partition: str = "date",
-    cluster: Sequence[str] = (),
-    *,
-    start: object = None,
-    end: object = None,
-    shard: int | None = None,
-) -> None:
-    """Replace one slice of a stored table by ``df``; writing the same slice twice leaves it once.
-
-    The slice is the days from ``start`` to ``end`` (the days of ``df`` where both are None), and of these only one
-    ``shard`` where it is given; a sharded table has a folder per day and shard. Days of the slice without new rows end
-    up empty. The new rows are written aside first, so a job that fails leaves the table as it was.
-    """
-    spark = df.sparkSession
-    keys = [partition] if shard is None else [partition, "shard"]
-    rows = df if shard is None else df.withColumn("shard", F.lit(shard))
-    aside = f"{path}/_slice-{uuid.uuid4().hex}"
-    laid_out(rows, partition, cluster).write.partitionBy(*keys).parquet(aside)
-    depth = "/".join(f"{k}=*" for k in keys)
-    name = lambda folder: "/".join(folder.rstrip("/").split("/")[-len(keys) :])
-    day = lambda part: part.split("/")[0].split("=", 1)[1]
-    new = {name(f): f for f in files.folders(spark, f"{aside}/{depth}")}
-    days = {day(n) for n in new}
-
-    def inside(part: str) -> bool:
-        if shard is not None and part.split("/")[1] != f"shard={shard}":
-            return False
-        if start is None and end is None:
-            return day(part) in days
-        return (start is None or day(part) >= str(start)) and (end is None or day(part) <= str(end))
-
-    outside = [n for n in new if not inside(n)]
-    if outside:
-        files.remove(spark, aside)
-        raise ValueError(f"rows outside the slice: {outside[:3]}")
-    for folder in files.folders(spark, f"{path}/{depth}"):
-        if inside(name(folder)):
-            files.remove(spark, folder)
-    for part, folder in new.items():
-        files.move(spark, folder, f"{path}/{part}")
-    files.remove(spark, aside)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

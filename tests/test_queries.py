@@ -62,5 +62,5 @@ def test_entry_has_rows(spark):
 
 def test_every_sql_has_a_query():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    without = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    without = set(catalog.QUERIES) - set(catalog.SQL)
     assert without == {"train_gbt", "train_gbt_alt", "predict", "feature_importance", "policy_sweep_model"}
