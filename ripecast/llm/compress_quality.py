@@ -5,11 +5,12 @@ A text is cut into pieces of ``PIECE`` bytes (all of it, so long texts are judge
 its pieces are compressed with either dictionary, and (bad size - good size) / bytes of the text goes through a
 logistic curve to a score between 0 and 1.
 
-The only bounded part is the labelled sample: at most ``ROWS_PER_CLASS`` rows of each class in the order of a hash of the
-key, and of these at most ``SAMPLE_BYTES`` bytes a class. Scoring reads every text whole, in narrow tasks.
+The only bounded part is the labelled sample: at most ``ROWS_PER_CLASS`` keys of each class in the order of a hash of the
+key, of these the rows with texts of at most ``LONGEST`` bytes, and at most ``SAMPLE_BYTES`` bytes a class. Texts are
+learned from whole or not at all. Scoring reads every text whole, in narrow tasks.
 
-Defined results: a null or empty text has difference 0 and the score that belongs to it; null labels are not learned
-from; a class without rows makes every score the share of the other one; equal texts get equal scores; other columns
+Defined results: a null or empty text has difference 0 and the score that belongs to it; null labels, and keys whose
+label rows disagree, are not learned from; repeated label rows count once; a class without rows makes every score the share of the other one; equal texts get equal scores; other columns
 are carried whatever their names; an empty table gives an empty result.
 """
 
@@ -25,11 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripecast.llm import spans
-from ripecast.llm.common import as_text, fresh
+from ripecast.llm.common import as_text, fresh, text_last
 
 ROWS_PER_CLASS = 4_000
 SAMPLE_BYTES = 12 << 20
-LONGEST_SHARE = 64
+LONGEST = 192 << 10
 DICTIONARY_BYTES = 112 << 10
 PIECE = 2_048
 LEVEL = 3
@@ -70,20 +71,25 @@ def difference(good: Sizes, bad: Sizes, text: bytes | memoryview) -> float:
     return (b - g) / len(text)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int = ROWS_PER_CLASS, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
-    """key, text, label of the bounded sample. The chosen keys are at most two times ``rows`` and are broadcast.
-
-    A text longer than one ``LONGEST_SHARE``th of ``most_bytes`` takes part with its beginning, so that no single text
-    uses up the sample of its class.
-    """
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    key: str,
+    text: str,
+    label: str,
+    rows: int = ROWS_PER_CLASS,
+    most_bytes: int = SAMPLE_BYTES,
+    longest: int = LONGEST,
+) -> DataFrame:
+    """key, text, label of the bounded sample. The chosen keys are at most two times ``rows`` and are broadcast."""
     order = F.md5(F.col("k").cast("string"))
     known = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where(F.col("k").isNotNull() & F.col("y").isin(0, 1))
+    known = known.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("other")).where(F.col("y") == F.col("other")).drop("other")
     chosen = [known.where(F.col("y") == y).orderBy(order, "k").limit(rows) for y in (0, 1)]
     keys = chosen[0].unionByName(chosen[1])
     found = docs.select(F.col(key).alias("k"), as_text(text).alias("text")).join(F.broadcast(keys), "k")
-    longest = most_bytes // LONGEST_SHARE
-    start = F.when(F.octet_length("text") > longest, F.substring("text", 1, longest // 4)).otherwise(F.col("text"))
-    found = found.withColumn("text", start)
+    # before the running sum, so that the rows behind a very long one still take part
+    found = found.where(F.octet_length("text") <= longest)
     sofar = Window.partitionBy("y").orderBy(order, "k").rowsBetween(Window.unboundedPreceding, 0)
     sized = found.withColumn("bytes", F.sum(F.octet_length("text")).over(sofar))
     return sized.where(F.col("bytes") <= most_bytes).select(F.col("k").alias("key"), "text", F.col("y").alias("label"))
@@ -125,7 +131,9 @@ def fit(rows: list[tuple[bytes, int, bool]]) -> Model:
     return Model(good, bad, slope, shift)
 
 
-def _task(model: Model):
+def _task(model: Model, kept: int):
+    """Scores of the last column; the first ``kept`` columns are given back."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad = Sizes(model.good), Sizes(model.bad)
         for batch in batches:
@@ -134,18 +142,18 @@ def _task(model: Model):
                 view = memoryview(np.ascontiguousarray(data))
                 scores.append([difference(good, bad, view[offsets[k] : offsets[k + 1]]) for k in range(len(offsets) - 1)])
             found = model.score(np.array([d for part in scores for d in part], float))
-            kept = [batch.column(k) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.float64())], names=[*batch.schema.names[:-1], "score"])
+            columns = [batch.column(k) for k in range(kept)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], names=[*batch.schema.names[:kept], "score"])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """The input rows with ``out``, the calibrated score."""
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    own = docs.toDF(*names).select(*names, as_text(names[docs.columns.index(text)]).alias("t"))
-    schema = ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema)), "score double"])
-    return own.mapInArrow(_task(model), schema).toDF(*docs.columns, fresh(docs.columns, out))
+def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep_text: bool = True) -> DataFrame:
+    """The input rows with ``out``, the calibrated score; without the text where it is not to be kept."""
+    own, columns, kept, schema = text_last(docs, text, keep_text)
+    scored = own.mapInArrow(_task(model, kept), f"{schema}, score double" if schema else "score double")
+    wanted = [c for c in docs.columns if keep_text or c != text]
+    return scored.select(*[columns[c] for c in wanted], "score").toDF(*wanted, fresh(wanted, out))
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5) -> Model:
