@@ -8,12 +8,13 @@ Two forms of the fold give the same ids:
 
 * ``fold_native`` is an expression: ``aggregate`` over the bytes of a piece with a literal table from pairs of ids to
   ranks. It is meant for a column of distinct pieces.
-* ``encode`` is what the query runs: pieces go to Arrow tasks as arrays, each batch is dictionary-encoded, so Python sees
-  each distinct piece once per batch and folds it once per task; ids and decoded bytes are gathered with numpy. The
-  README has the figures that led to this form. Nothing is shuffled, so a lost executor costs only its own tasks.
+* ``encode`` sends pieces to Arrow tasks as arrays; each batch is dictionary-encoded, so Python sees each distinct piece
+  once per batch and folds it once per task; ids and decoded bytes are gathered with numpy. ``round_trip``, which the
+  query runs, also decodes the ids in the same task and leaves the text behind. The README has the figures that led to
+  this form. Nothing is shuffled, so a lost executor costs only its own tasks.
 
-The table of known pieces of a task is emptied when it has ``KNOWN_PIECES`` entries, which bounds memory and does not
-change results. Long pieces are merged with a heap, in O(n log n).
+The table of known pieces of a task is emptied when it holds ``KNOWN_BYTES``, which bounds memory and does not change
+results. Long pieces are merged with a heap, in O(n log n).
 
 Defined results: a null text is empty and has no ids; special-token strings are ordinary text; a null key stays null;
 other columns are carried whatever their names; an empty table gives an empty result. The pattern's classes are those
@@ -35,7 +36,8 @@ from pyspark.sql import functions as F
 
 from ripecast.llm.common import as_text, fresh
 
-KNOWN_PIECES = 1 << 19
+KNOWN_BYTES = 64 << 20
+_ENTRY_BYTES = 240
 _BUCKETS = 1 << 17
 _IN = 4 << 20
 
@@ -148,32 +150,45 @@ def _row_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         row = end
 
 
-def _encode_task(path: str):
+class Folder:
+    """Ids of pieces, each folded once while the table of known ones holds it."""
+
+    def __init__(self, merger: Merger):
+        self.merger, self.known, self.size = merger, {}, 0
+
+    def ids(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            if self.size >= KNOWN_BYTES:
+                self.known.clear()
+                self.size = 0
+            ids = self.known[piece] = np.array(self.merger.ids(piece.encode()), "<u4").tobytes()
+            self.size += 4 * len(piece) + len(ids) + _ENTRY_BYTES
+        return ids
+
+
+def _encode_task(path: str, decoded: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger, _, _ = _tokens(path)
-        known: dict[str, bytes] = {}
+        merger, data, token_ends = _tokens(path)
+        folder = Folder(merger)
         for batch in batches:
             names = batch.schema.names
             for row, end in _row_blocks(batch.column(batch.num_columns - 1), _IN):
                 part = batch.slice(row, end - row)
                 lists = part.column(part.num_columns - 1)
                 coded = lists.flatten().dictionary_encode()
-                found = []
-                for piece in coded.dictionary.to_pylist():
-                    ids = known.get(piece)
-                    if ids is None:
-                        if len(known) >= KNOWN_PIECES:
-                            known.clear()
-                        ids = known[piece] = np.array(merger.ids(piece.encode()), "<u4").tobytes()
-                    found.append(ids)
+                found = [folder.ids(piece) for piece in coded.dictionary.to_pylist()]
                 offsets = np.zeros(len(found) + 1, np.int64)
                 np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
                 flat = np.frombuffer(b"".join(found), "<u4")
                 ids, starts = gather(flat, offsets, np.asarray(coded.indices, np.int64))
                 rows = np.asarray(lists.offsets, np.int64)
                 bounds = starts[rows - rows[0]]
-                kept = [part.column(k) for k in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*kept, _binary(ids, bounds * 4)], names=[*names[:-1], names[-1]])
+                out = [*(part.column(k) for k in range(part.num_columns - 1)), _binary(ids, bounds * 4)]
+                if decoded:
+                    text, at = gather(data, token_ends, ids.astype(np.int64))
+                    out.append(_binary(text, at[bounds]))
+                yield pa.RecordBatch.from_arrays(out, names=[*names, "out"] if decoded else names)
 
     return run
 
@@ -221,6 +236,20 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
     return rows.select(*names, "out").toDF(*coded.columns, name)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """The input rows without the text, with ``ids`` and ``out``, the bytes that the ids stand for, from one task."""
+    kept = [c for c in docs.columns if c != text]
+    first = fresh(kept, ids)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    at = names[docs.columns.index(text)]
+    own = docs.toDF(*names)
+    others = [n for n in names if n != at]
+    pieces = F.regexp_extract_all(as_text(at), F.lit(jvm_pattern(pattern)), F.lit(0)).alias("extra")
+    schema = ", ".join([*(f"{n} {own.schema[n].dataType.simpleString()}" for n in others), "extra binary, out binary"])
+    coded = own.select(*others, pieces).mapInArrow(_encode_task(path, True), schema)
+    return coded.toDF(*kept, first, fresh([*kept, first], out))
+
+
 def fold_native(piece: Column, path: str) -> Column:
     """The ids of a piece as an expression of built-in higher-order functions."""
     ranks = load_ranks(path)

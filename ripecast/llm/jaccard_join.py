@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripecast.llm import spans
-from ripecast.llm.common import as_text, fresh, store
+from ripecast.llm.common import as_text, fresh, store, text_last
 from ripecast.llm.components import components
 
 SHINGLE = 5
@@ -314,11 +314,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     verdict = join(docs, key, text)
     touched = verdict.where(F.col("filled") & (~F.col("first") | (F.col("rows") > 1)))
     touched = store(touched.select(F.col("key").alias("k"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("first").alias("head")), "join-verdict")
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    own = docs.toDF(*names)
-    k, t = names[docs.columns.index(key)], names[docs.columns.index(text)]
-    schema = ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema)), "s1 bigint, s2 bigint, filled boolean"])
-    own = own.select(*names, as_text(t).alias("t")).mapInArrow(_digest_task, schema)
+    own, columns, kept, schema = text_last(docs, text, True)
+    names, k = [columns[c] for c in docs.columns], columns[key]
+    own = own.mapInArrow(_digest_task(kept), f"{schema}, s1 bigint, s2 bigint, filled boolean")
     match = F.col("filled") & F.col(k).eqNullSafe(F.col("k")) & (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2"))
     seen = own.join(touched, match, "left")
     whole = seen.where(F.col("head").isNull()).select(*names)
@@ -326,10 +324,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return whole.unionByName(one).toDF(*docs.columns)
 
 
-def _digest_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row, end, data, offsets in spans.slices(batch.column(batch.num_columns - 1)):
-            found, bounds = _sets(data, offsets)
-            s1, s2 = _digest(found, bounds)
-            kept = [batch.column(k).slice(row, end - row) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(s1), pa.array(s2), pa.array(np.diff(bounds) > 0)], names=[*batch.schema.names[:-1], "s1", "s2", "filled"])
+def _digest_task(kept: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in spans.slices(batch.column(batch.num_columns - 1)):
+                found, bounds = _sets(data, offsets)
+                s1, s2 = _digest(found, bounds)
+                columns = [batch.column(k).slice(row, end - row) for k in range(kept)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(s1), pa.array(s2), pa.array(np.diff(bounds) > 0)], names=[*batch.schema.names[:kept], "s1", "s2", "filled"]
+                )
+
+    return run

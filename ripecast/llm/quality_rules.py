@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripecast.llm import spans
-from ripecast.llm.common import as_text, fresh
+from ripecast.llm.common import as_text, fresh, text_last
 
 MEASURES = (
     "n_words",
@@ -124,13 +124,17 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def _task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        text = batch.column(batch.num_columns - 1)
-        for row, end, data, offsets in spans.slices(text):
-            kept = [batch.column(i).slice(row, end - row) for i in range(batch.num_columns - 1)]
-            found = [pa.array(x.astype(np.int64)) for x in _measure(data, offsets)]
-            yield pa.RecordBatch.from_arrays([*kept, *found], names=[*batch.schema.names[:-1], *MEASURES])
+def _task(kept: int):
+    """The measures of the last column; the first ``kept`` columns are given back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in spans.slices(batch.column(batch.num_columns - 1)):
+                columns = [batch.column(i).slice(row, end - row) for i in range(kept)]
+                found = [pa.array(x.astype(np.int64)) for x in _measure(data, offsets)]
+                yield pa.RecordBatch.from_arrays([*columns, *found], names=[*batch.schema.names[:kept], *MEASURES])
+
+    return run
 
 
 def failure_bits() -> Column:
@@ -142,7 +146,7 @@ def ledger(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     slim = docs.select(F.col(key), as_text(text).alias(fresh([key], "text_")))
     kind = docs.schema[key].dataType.simpleString()
     schema = ", ".join([f"`{key}` {kind}", *(f"{m} bigint" for m in MEASURES)])
-    return slim.mapInArrow(_task, schema).withColumn("fail_bits", failure_bits())
+    return slim.mapInArrow(_task(1), schema).withColumn("fail_bits", failure_bits())
 
 
 def fails(policy: Policy, bits: str = "fail_bits") -> Column:
@@ -180,9 +184,7 @@ def filter_documents(docs: DataFrame, policy: Policy = STRICT, text: str = "text
     Narrow: every row carries its own columns through the measuring task, so no join by key is needed and rows with
     equal or null keys keep their own verdict.
     """
-    names = [fresh(MEASURES, f"in{k}_") for k in range(len(docs.columns))]
-    carried = docs.toDF(*names)
-    own = carried.select(*names, as_text(names[docs.columns.index(text)]).alias(fresh(names, "text_")))
-    schema = ", ".join([*(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema)), *(f"{m} bigint" for m in MEASURES)])
-    judged = own.mapInArrow(_task, schema).withColumn("fail_bits", failure_bits())
-    return judged.where(~fails(policy)).select(*names).toDF(*docs.columns)
+    own, columns, kept, schema = text_last(docs, text, True, "in")
+    schema = ", ".join([schema, *(f"{m} bigint" for m in MEASURES)])
+    judged = own.mapInArrow(_task(kept), schema).withColumn("fail_bits", failure_bits())
+    return judged.where(~fails(policy)).select(*[columns[c] for c in docs.columns]).toDF(*docs.columns)

@@ -17,7 +17,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
     labels = read(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
-    scored = compress_quality.score(docs, compress_quality.learn(docs, labels)).drop("text")
+    scored = compress_quality.score(docs, compress_quality.learn(docs, labels), keep_text=False)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
@@ -81,8 +81,7 @@ def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, TOKENIZER, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode(coded, TOKENIZER).select(
+    return bpe.round_trip(docs, TOKENIZER, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

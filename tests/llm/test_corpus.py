@@ -10,6 +10,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -278,9 +279,27 @@ def test_sample_outlives_a_long_text(spark):
     first = min(range(0, 20, 2), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
     docs = spark.createDataFrame([(k, t * 5_000 if k == first else t) for k, t in texts], "doc_id bigint, text string")
     labels = spark.createDataFrame([(k, k % 2) for k, _ in texts], "doc_id bigint, quality int")
-    got = {r.key: r.text for r in compress_quality.labelled_sample(docs, labels, "doc_id", "text", "quality", most_bytes=64 << 10).collect()}
-    assert got.keys() == {k for k, _ in texts}
-    assert all(got[k] == t for k, t in texts if k != first) and len(got[first]) == 256
+    got = {r.key: r.text for r in compress_quality.labelled_sample(docs, labels, "doc_id", "text", "quality", longest=64 << 10).collect()}
+    assert got == {k: t for k, t in texts if k != first}
+    again = spark.createDataFrame([(k, k % 2) for k, _ in texts] * 2 + [(3, 0), (4, None), (None, 1)], "doc_id bigint, quality int")
+    rows = compress_quality.labelled_sample(docs, again, "doc_id", "text", "quality", longest=64 << 10).collect()
+    assert sorted((r.key, r.label) for r in rows) == [(k, k % 2) for k, _ in texts if k not in (first, 3)]
+
+
+def test_scores_follow_the_compressed_sizes(spark):
+    good, bad = ([(prose(80, k) if y else prose(80, k).upper().replace(" ", "## ")).encode() for k in range(60)] for y in (1, 0))
+    model = compress_quality.fit([(t, y, k % 4 == 0) for y, texts in ((1, good), (0, bad)) for k, t in enumerate(texts)])
+
+    def size(dictionary, data):
+        made = zstandard.ZstdCompressionDict(dictionary)
+        packer = zstandard.ZstdCompressor(level=compress_quality.LEVEL, dict_data=made, write_content_size=False, write_dict_id=False)
+        return sum(len(packer.compress(data[k : k + compress_quality.PIECE])) for k in range(0, len(data), compress_quality.PIECE))
+
+    for r in compress_quality.score(frame(spark), model).collect():
+        data = (r.text or "").encode()
+        x = (size(model.bad, data) - size(model.good, data)) / len(data) if data else 0.0
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(model.slope * x + model.shift))), abs=1e-9)
+    assert compress_quality.score(frame(spark), model, keep_text=False).columns == ["doc_id", "source", "score"]
 
 
 # --- Jaccard join ----------------------------------------------------------------------------------------------------
