@@ -42,8 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and the hash of what the ids decode to."""
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, public_tokenizers.PATTERN)
-    decoded = bpe.decode(coded.drop("text"), TOKENIZER)
+    decoded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, public_tokenizers.PATTERN)
     count = (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens")
     return decoded.select("doc_id", "lang", "source", count, "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
