@@ -45,6 +45,7 @@ DEPTH = 3
 ALIKE = 0.5
 PROBES = 4
 TILE = 512
+MOST_BROADCAST = 1 << 20
 _BLOCK = 4096
 
 
@@ -309,11 +310,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The input rows without near-duplicates: of each group the row with the smallest key, others go.
 
-    Only the (key, set) pairs that lose rows are joined with the documents; all else passes through.
+    Only the (key, set) pairs that lose rows are joined with the documents; all else passes through. They are counted
+    first: up to ``MOST_BROADCAST`` of them (some 50 MB) are broadcast, so that the texts stay where they are; more are
+    joined by shuffle.
     """
     verdict = join(docs, key, text)
     touched = verdict.where(F.col("filled") & (~F.col("first") | (F.col("rows") > 1)))
     touched = store(touched.select(F.col("key").alias("k"), F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("first").alias("head")), "join-verdict")
+    if touched.count() <= MOST_BROADCAST:
+        touched = F.broadcast(touched)
     own, columns, kept, schema = text_last(docs, text, True)
     names, k = [columns[c] for c in docs.columns], columns[key]
     own = own.mapInArrow(_digest_task(kept), f"{schema}, s1 bigint, s2 bigint, filled boolean")
