@@ -308,6 +308,9 @@ cte(
 )
 
 
+cte("scored_all", "split", f"SELECT *, {units('discount_pct')} AS predicted_unit_sales FROM split")
+
+
 def sql(needs: str, body: str) -> str:
     """The body with the CTEs it needs, dependencies first."""
     order: list[str] = []

@@ -2,44 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
-from ripecast.session import checkpoint_dir
+from ripecast.operators import boosting
+from ripecast.operators.selection import quantiles
+from ripecast.session import checkpoint_dir, checkpoints
 
 INDEXED = [f"{c}_idx" for c in K.CATEGORICAL_FEATURES]
 INPUTS = [*K.NUMERIC_FEATURES, *INDEXED]
 MISSING = -1.0
 
-# Parameter sets, in GBTRegressor terms. A leaf-count limit has no twin there and becomes a depth of 8. ``patience`` is
-# the number of rounds without a better valid error after which training stops; ``validationTol`` is a progress rule,
-# which stops at the first round that gains less than that share.
+# The parameter set of the warehouse trainer, in GBTRegressor terms; ``validationTol`` is a progress rule, which stops at
+# the first round that gains less than that share. The sets of the other trainers are in ``boosting``.
 PRESETS = {
     "warehouse": dict(maxIter=600, maxDepth=8, subsamplingRate=0.8, stepSize=0.3, maxBins=256, validationTol=0.01),
-    "histogram": dict(
-        maxIter=1000,
-        maxDepth=8,
-        subsamplingRate=0.8,
-        stepSize=0.3,
-        maxBins=256,
-        featureSubsetStrategy="0.8",
-        patience=50,
-    ),
-    "leafwise": dict(
-        maxIter=800,
-        maxDepth=8,
-        subsamplingRate=0.8,
-        stepSize=0.08,
-        maxBins=255,
-        minInstancesPerNode=64,
-        featureSubsetStrategy="0.8",
-        patience=100,
-    ),
 }
 
 
@@ -101,7 +85,6 @@ def train(
 def _fit(rows: DataFrame, params: dict, seed: int, early_stop: bool, max_categories: int | None) -> PipelineModel:
     train_rows, valid_rows = rows.where(~F.col("is_valid")), rows.where("is_valid")
     params = {**params, "maxBins": max(params.get("maxBins", 32), _category_limit(train_rows, max_categories))}
-    patience = params.pop("patience", None)
 
     # the vocabulary comes from the train rows only; later categories take the unknown slot
     indexer = StringIndexer(
@@ -120,35 +103,21 @@ def _fit(rows: DataFrame, params: dict, seed: int, early_stop: bool, max_categor
     # an empty validation part would stop training at once
     if not early_stop or valid_rows.isEmpty():
         trees = gbt.fit(ready(train_rows))
-    elif patience is None:
-        trees = gbt.setValidationIndicatorCol("is_valid").fit(ready(rows))
     else:
-        trees = _patient(gbt, ready(train_rows), ready(valid_rows), patience)
+        trees = gbt.setValidationIndicatorCol("is_valid").fit(ready(rows))
     return PipelineModel([indexer, assembler, trees])
 
 
-def _patient(gbt: GBTRegressor, train_rows: DataFrame, valid_rows: DataFrame, patience: int):
-    """The trees up to the best round on the valid rows, once ``patience`` more rounds have brought nothing better.
+def scorer(model: PipelineModel | boosting.Booster) -> ModelScorer | boosting.Booster:
+    """What a policy sweep scores with."""
+    return model if isinstance(model, boosting.Booster) else ModelScorer(model)
 
-    Rounds under one seed repeat, so training goes on by fitting more of them, and the kept model is a fit of the best
-    number of rounds.
-    """
-    most = gbt.getMaxIter()
-    rounds = min(most, patience + max(1, patience // 2))
-    while True:
-        trees = gbt.copy().setMaxIter(rounds).fit(train_rows)
-        errors = trees.evaluateEachIteration(valid_rows, "squared")
-        best = min(range(len(errors)), key=errors.__getitem__) + 1
-        if best + patience <= rounds or rounds == most:
-            return trees if best == rounds else gbt.copy().setMaxIter(best).fit(train_rows)
-        rounds = min(most, max(best + patience, rounds + patience))
-
-
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+
+def predict(model: PipelineModel | boosting.Booster, df: DataFrame) -> DataFrame:
     """The input columns plus predicted_unit_sales."""
-    scorer = ModelScorer(model)
-    scored = scorer.score(scorer.prepare(df), "effective_price", "discount_pct", "predicted_unit_sales")
-    return scorer.finish(scored)
+    with_model = scorer(model)
+    scored = with_model.score(with_model.prepare(df), "effective_price", "discount_pct", "predicted_unit_sales")
+    return with_model.finish(scored)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -160,12 +129,45 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def feature_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Normalised gain per feature. ``df`` only names the session; the table has one row per model input."""
+def nodes(model: PipelineModel | boosting.Booster, spark: SparkSession) -> DataFrame:
+    """tree, node, feature, left_child, right_child, value, gain, n_rows of every node; gain is the node's error less its
+    children's, summed over its rows.
+
+    A pipeline is stored in the checkpoint folder and its trees are read back as the table they are stored as.
+    """
+    if isinstance(model, boosting.Booster):
+        return model.nodes(spark).drop("threshold")
+    path = f"{checkpoints(spark)}/nodes-{uuid.uuid4().hex}"
+    trees = model.stages[-1]
+    trees.write().save(path)
+    names = F.array(*[F.lit(n) for n in (*K.NUMERIC_FEATURES, *K.CATEGORICAL_FEATURES)])
+    inner = F.col("nodeData.leftChild") >= 0
+    only = lambda c: F.when(inner, c)
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        F.col("nodeData.id").alias("node"),
+        only(F.get(names, F.col("nodeData.split.featureIndex"))).alias("feature"),
+        only(F.col("nodeData.leftChild")).alias("left_child"),
+        only(F.col("nodeData.rightChild")).alias("right_child"),
+        F.col("nodeData.prediction").alias("value"),
+        F.when(inner, F.col("nodeData.gain") * F.col("nodeData.rawCount")).otherwise(0.0).alias("gain"),
+        F.col("nodeData.rawCount").cast("bigint").alias("n_rows"),
+    )
+
+
+def feature_importance(model: PipelineModel | boosting.Booster, df: DataFrame) -> DataFrame:
+    """feature, importance (normalised gain), gain, weight (splits) and cover (rows split), one row per model input.
+
+    ``df`` only names the session. A pipeline's ``importance`` is the average of its trees' shares, as Spark defines it.
+    """
+    spark = df.sparkSession
+    if isinstance(model, boosting.Booster):
+        return boosting.importance(model.nodes(spark), boosting.INPUTS)
     names = [*K.NUMERIC_FEATURES, *K.CATEGORICAL_FEATURES]
     values = model.stages[-1].featureImportances.toArray()
-    rows = [(n, float(v)) for n, v in zip(names, values)]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    shares = spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], "feature string, importance double")
+    counted = boosting.importance(nodes(model, spark), names).drop("importance")
+    return shares.join(counted, "feature").select("feature", "importance", "gain", "weight", "cover")
 
 
 class ModelScorer:
@@ -199,25 +201,29 @@ class ModelScorer:
 
 
 def metrics(
-    scored: DataFrame, label: str = K.LABEL, prediction: str = "predicted_unit_sales", accuracy: int = 10_000
+    scored: DataFrame, label: str = K.LABEL, prediction: str = "predicted_unit_sales", accuracy: int = 10_000, exact: bool = False
 ) -> DataFrame:
     """Regression metrics in one pass. Squared logs are taken of values clamped at zero.
 
     The median comes from a sketch whose size is bounded by ``accuracy``: its rank is off by one part in ``accuracy`` of
-    the rows at most, whatever their number.
+    the rows at most, whatever their number. With ``exact`` it is the true one, found by passes of its own that run at
+    once.
     """
     y, p = F.col(label), F.col(prediction)
     rows = scored.where(y.isNotNull() & p.isNotNull())
     error = y - p
     log_error = F.log1p(F.greatest(y, F.lit(0.0))) - F.log1p(F.greatest(p, F.lit(0.0)))
     mse = F.avg(error * error)
+    median = F.percentile_approx(F.abs(error), 0.5, accuracy)
+    if exact:
+        median = F.lit(quantiles(rows, {"median": (F.abs(error), 0.5)})["median"]).cast("double")
     return rows.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.avg(F.abs(error)).alias("mean_absolute_error"),
         mse.alias("mean_squared_error"),
         F.sqrt(mse).alias("root_mean_squared_error"),
         F.avg(log_error * log_error).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(error), 0.5, accuracy).alias("median_absolute_error"),
+        median.alias("median_absolute_error"),
         (F.lit(1.0) - F.try_divide(mse, F.var_pop(y))).alias("r2_score"),
         (F.lit(1.0) - F.try_divide(F.var_pop(error), F.var_pop(y))).alias("explained_variance"),
     )

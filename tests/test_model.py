@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
-from ripecast.operators import lookup, model, policy
+from ripecast.operators import boosting, lookup, model, policy
 from ripecast.plans.warehouse import Warehouse
 from ripecast.session import checkpoint_dir
 
@@ -34,16 +34,6 @@ def test_model_beats_the_mean(split, fitted):
     assert constant.r2_score == pytest.approx(0, abs=1e-9)
 
 
-def test_patience_keeps_several_trees_and_beats_the_mean_on_valid_rows(split):
-    signal = split.withColumn(K.LABEL, 5 + 3 * F.col("dow") + 10 * F.coalesce("discount_pct", F.lit(0.0)) + F.col("month"))
-    kept = model.train(signal, "histogram", maxIter=25, maxDepth=3, stepSize=0.3, patience=5)
-    assert kept.stages[-1].getNumTrees > 1
-    valid = signal.where(F.col("split") == "valid")
-    mean = signal.where(F.col("split") == "train").agg(F.avg(K.LABEL)).first()[0]
-    ours = model.metrics(model.predict(kept, valid)).first().root_mean_squared_error
-    assert ours < model.metrics(valid.withColumn("predicted_unit_sales", F.lit(mean))).first().root_mean_squared_error
-
-
 def test_training_needs_a_checkpoint_folder(split, monkeypatch):
     monkeypatch.setattr(model, "checkpoint_dir", lambda spark: None)
     with pytest.raises(ValueError, match="checkpoint"):
@@ -87,6 +77,19 @@ def test_importance_covers_all_features(split, fitted):
     assert sum(table.values()) == pytest.approx(1.0)
 
 
+def test_weight_and_cover_come_from_the_stored_nodes(spark, split, fitted):
+    nodes = model.nodes(fitted, spark)
+    nodes.createOrReplaceTempView("tree_nodes")
+    counted = spark.sql("SELECT feature, count(*) AS weight, sum(n_rows) AS cover FROM tree_nodes WHERE feature IS NOT NULL GROUP BY feature")
+    want = {r.feature: (r.weight, r.cover) for r in counted.collect()}
+    table = {r.feature: r for r in model.feature_importance(fitted, split).collect()}
+    assert {f: (r.weight, r.cover) for f, r in table.items() if r.weight} == want
+    assert sum(r.weight for r in table.values()) == sum((t.numNodes - 1) // 2 for t in fitted.stages[-1].trees)
+    roots = nodes.where("node = 0").collect()
+    assert len(roots) == fitted.stages[-1].getNumTrees and all(r.n_rows > 0 for r in roots)
+    assert all((r.gain > 0) == (r.weight > 0) for r in table.values())
+
+
 def test_policy_with_a_model(split, fitted):
     frame = policy.scoring_frame(split)
     scorer = model.ModelScorer(fitted)
@@ -107,6 +110,8 @@ def test_checkpoints_go_to_the_named_folder(spark):
 def test_presets_train(split):
     for preset in model.PRESETS:
         assert model.train(split, preset, maxIter=1, maxDepth=2).stages[-1].getNumTrees == 1
+    for preset in boosting.PRESETS:
+        assert len(boosting.train(split, preset, rounds=1).trees) == 1
     # without valid rows there is nothing to stop on
     assert model.train(split.where(F.col("split") == "train"), maxIter=1, maxDepth=2).stages[-1].getNumTrees == 1
 
