@@ -91,6 +91,16 @@ def contracts() -> dict[str, list[Check]]:
     }
 
 
+TABLE_COMMENTS = {
+    "int_sales": "Cleaned daily sales, one row per day, store and item",
+    "dim_items": "Items with family, class, whether they perish, and list price",
+    "dim_stores": "Stores with place, type and cluster",
+    "dim_oil_prices": "Daily oil price, gaps filled forward, with moving averages and changes",
+    "dim_holidays": "Days on which a national holiday is observed",
+    "fct_sales_features": "Daily sales of perishable items with price, days left and recent units",
+    "features_split": "Model features with the part of the time split",
+    "scoring_frame": "Test rows close to expiry, with today's discount and price as the baseline",
+}
 COMMENTS = {
     "date": "Day of sale",
     "store_nbr": "Store number",

@@ -213,12 +213,15 @@ class Warehouse:
         for name in [k for k in self.__dict__ if isinstance(getattr(type(self), k, None), cached_property)]:
             del self.__dict__[name]
 
-    def publish(self, prefix: str = "") -> None:
-        """Expose the tables as views for ``spark.sql``."""
+    def publish(self, prefix: str = "", materialized: str = "view", root: str | None = None) -> None:
+        """Expose the tables for ``spark.sql``: staged ones as views, gold ones as views or as described tables under ``root``."""
         for name in ("stg_sales", "stg_items", "stg_stores", "stg_oil_prices", "stg_holidays", "features_enriched"):
-            tables.publish(getattr(self, name), f"{prefix}{name}")
+            tables.publish(getattr(self, name), f"{prefix if '.' not in prefix else ''}{name}")
         for name, _, _ in LAYERS:
-            tables.publish(getattr(self, name), f"{prefix}{'fct_sales_features' if name == 'fact' else name}")
+            shown = "fct_sales_features" if name == "fact" else name
+            place = f"{root}/{shown}" if root else None
+            gold = tables.describe(getattr(self, name), contracts.COMMENTS)
+            tables.publish(gold, f"{prefix}{shown}", materialized, contracts.TABLE_COMMENTS[shown], place)
 
     def run_policy(
         self,

@@ -48,12 +48,20 @@ def save_series_table(df: DataFrame, name: str, keys: Sequence[str], buckets: in
     writer.format("parquet").saveAsTable(name)
 
 
-def publish(df: DataFrame, name: str, materialized: str = "view") -> DataFrame:
-    """Expose a model under a name, as a view (lazy) or as a stored table, and return it for further use."""
+def publish(df: DataFrame, name: str, materialized: str = "view", comment: str | None = None, location: str | None = None) -> DataFrame:
+    """Expose a model under a name, as a view (lazy) or as a stored table, and return it for further use.
+
+    A stored table keeps a description; ``location`` is its folder, by default one in the session's warehouse, which on
+    a cluster has to be a shared one.
+    """
     if materialized == "view":
         df.createOrReplaceTempView(name)
     elif materialized == "table":
-        df.write.mode("overwrite").format("parquet").saveAsTable(name)
+        writer = df.write.mode("overwrite").format("parquet")
+        (writer.option("path", location) if location else writer).saveAsTable(name)
+        if comment is not None:
+            text = comment.replace("\\", "\\\\").replace("'", "\\'")
+            df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
     else:
         raise ValueError(f"unknown materialization: {materialized}")
     return df.sparkSession.table(name)

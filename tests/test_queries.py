@@ -32,11 +32,13 @@ CORE = [
     "kpi_by_expiry",
     "kpi_discount_dist",
     "kpi_overall",
+    "kpi_overall_states",
     "peak_gap",
     "peak_uplift",
     "policy_eval",
     "policy_score",
     "safe_divide",
+    "sink_idempotent_slice",
     "tx_signals",
     "union_slices",
     "vocab_fit",

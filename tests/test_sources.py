@@ -7,7 +7,7 @@ from ripecast import constants as K
 from ripecast import schemas
 from ripecast.operators import policy
 from ripecast.operators.policy import EVAL_COLUMNS
-from ripecast.plans.contracts import COMMENTS
+from ripecast.plans.contracts import COMMENTS, TABLE_COMMENTS
 from ripecast.plans.warehouse import Warehouse
 from ripecast.sources import deliveries, tables
 
@@ -141,6 +141,20 @@ def test_views_tables_schemas_and_descriptions(spark):
         tables.publish(df, "x", "cube")
 
 
+def test_tables_keep_a_description_and_a_place(spark, tmp_path):
+    tables.create_schema(spark, "gold")
+    place = str(tmp_path / "daily")
+    tables.publish(daily(spark, (1, 1, 7)), "gold.described", "table", "Sam's \\ daily 'sales'", place)
+    shown = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED gold.described").collect()}
+    assert shown["Comment"] == "Sam's \\ daily 'sales'" and shown["Location"].endswith(place)
+    w = Warehouse(small_raw(spark))
+    w.publish("gold.", "table", str(tmp_path / "gold"))
+    for name, text in TABLE_COMMENTS.items():
+        shown = {r.col_name: r for r in spark.sql(f"DESCRIBE TABLE EXTENDED gold.{name}").collect()}
+        assert shown["Comment"].data_type == text
+    assert spark.table("gold.dim_items").schema["item_nbr"].metadata["comment"] == COMMENTS["item_nbr"]
+
+
 def test_empty_typed_tables(spark):
     none = tables.empty(spark, schemas.POLICY["eval"])
     assert none.columns == EVAL_COLUMNS and none.count() == 0
