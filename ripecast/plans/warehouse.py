@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ripecast import constants as K
 from ripecast import schemas
-from ripecast.operators import kpis, policy, quality
+from ripecast.operators import boosting, kpis, model, policy, quality
 from ripecast.operators.series import MAX_SERIES_ROWS
 from ripecast.plans import contracts, dims, fact, features, sales_checks, staging
 from ripecast.sources import files, snapshots, tables
@@ -263,6 +263,21 @@ class Warehouse:
             tables.write_csv(table, f"{base}/{name}")
         return {**{name: table.read() for name, table in stored.items()}, **results}
 
+    def train_model(self, root: str, preset: str = "warehouse", name: str | None = None, **overrides):
+        """Fit a model and keep it with its metrics on the valid and test rows and its feature importances."""
+        name = name or preset
+        fit = boosting.train if preset in boosting.PRESETS else model.train
+        fitted = fit(self.features_split, preset, **overrides)
+        spark = self.features_split.sparkSession
+        if isinstance(fitted, boosting.Booster):
+            fitted.save(spark, f"{root}/{name}/model")
+        else:
+            model.save(fitted, f"{root}/{name}/model")
+        scored = model.predict(fitted, self.features_split.where(F.col("split") != "train"))
+        by_split = [model.metrics(scored.where(F.col("split") == part)).select(F.lit(part).alias("split"), "*") for part in ("valid", "test")]
+        self.store_model_report(name, by_split[0].unionByName(by_split[1]), model.feature_importance(fitted, scored), root)
+        return fitted
+
     def store_model_report(self, model: str, metrics: DataFrame, importance: DataFrame, root: str) -> None:
         """Keep a model's metrics and feature importances beside its policy tables."""
         tables.write_table(metrics, f"{root}/{model}/metrics", None)

@@ -165,6 +165,16 @@ def test_importance_counts_the_node_table(spark, split):
     assert max(table.values(), key=lambda r: r.gain).feature in ("dow", "month", "discount_pct", "time_to_expiry")
 
 
+def test_training_keeps_model_metrics_and_importance(spark, sample, tmp_path):
+    w, root = Warehouse.from_sample(spark, sample), str(tmp_path)
+    fitted = w.train_model(root, "leafwise", rounds=1, max_leaves=4)
+    again = boosting.Booster.load(spark, f"{root}/leafwise/model")
+    assert same_trees(again, fitted)
+    metrics = {r.split: r for r in spark.read.parquet(f"{root}/leafwise/metrics").collect()}
+    assert set(metrics) == {"valid", "test"} and metrics["valid"].mean_squared_error == pytest.approx(fitted.errors[0])
+    assert spark.read.parquet(f"{root}/leafwise/feature_importance").agg(F.sum("weight")).first()[0] == (fitted.trees[0].feature >= 0).sum()
+
+
 # --- encodings -------------------------------------------------------------------------------------------------------
 
 
