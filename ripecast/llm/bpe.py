@@ -120,13 +120,18 @@ def _tokens(path: str) -> tuple[Merger, np.ndarray, np.ndarray]:
     return Merger(ranks), np.frombuffer(b"".join(by_id), np.uint8), offsets
 
 
-def gather(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The value lists of ``rows`` one behind another, and where each begins."""
+def gather(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray, step: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """The value lists of ``rows`` one behind another, and where each begins; ``step`` rows at a time bound the indexes."""
     lengths = (offsets[1:] - offsets[:-1])[rows]
     starts = np.zeros(len(rows) + 1, np.int64)
     np.cumsum(lengths, out=starts[1:])
-    at = np.arange(starts[-1]) + np.repeat(offsets[rows] - starts[:-1], lengths)
-    return values[at], starts
+    out = np.empty(starts[-1], values.dtype)
+    for k in range(0, len(rows), step):
+        part = slice(k, k + step)
+        base, end = starts[k], starts[min(k + step, len(rows))]
+        at = np.arange(base, end) + np.repeat(offsets[rows[part]] - starts[:-1][part], lengths[part])
+        out[base:end] = values[at]
+    return out, starts
 
 
 def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
