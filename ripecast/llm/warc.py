@@ -7,7 +7,8 @@ worst an archive that nothing refers to. The payload of a row whose digest anoth
 row becomes a revisit record that refers to the one with the largest id.
 
 ``fetch`` sorts the wanted index rows by file and offset, joins neighbouring ranges (gaps up to ``GAP`` bytes are read
-over) into reads of about ``READ_BYTES``, and gives each read to a task.
+over) into reads of about ``READ_BYTES``, and deals the reads out over as many tasks as there are reads' worth of bytes,
+at least one per archive up to the cluster's cores.
 
 Only digests, ids and lengths are shuffled to find repeats; payloads cross one exchange by row digest, or none where the
 table of first copies is small enough for Spark to broadcast it.
@@ -34,6 +35,7 @@ from pyspark.taskcontext import TaskContext
 
 READ_BYTES = 8 << 20
 GAP = 64 << 10
+DATE = "1970-01-01T00:00:00Z"
 INDEX = "id bigint, url string, digest string, payload_bytes bigint, record_type string, refers_to bigint, file string, offset bigint, length bigint"
 
 
@@ -66,12 +68,13 @@ def classify(pages: DataFrame, key: str, url: str, payload: str, least: int = 0)
     )
 
 
-def _record(row: dict) -> bytes:
+def _record(row: dict, date: str) -> bytes:
     name = lambda k: f"<urn:record:{'none' if k is None else k}>"
     head = [
         "WARC/1.1",
         f"WARC-Type: {row['record_type']}",
         f"WARC-Record-ID: {name(row['id'])}",
+        f"WARC-Date: {date}",
         f"WARC-Target-URI: {(row['url'] or '').replace(chr(13), '').replace(chr(10), '')}",
         f"WARC-Payload-Digest: sha1:{row['digest']}",
         f"WARC-Original-Length: {row['payload_bytes']}",
@@ -85,7 +88,7 @@ def _record(row: dict) -> bytes:
     return "\r\n".join(head).encode() + b"\r\n\r\n" + row["payload"] + b"\r\n\r\n"
 
 
-def _writer(folder: str):
+def _writer(folder: str, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
         context = TaskContext.get()
@@ -99,7 +102,7 @@ def _writer(folder: str):
                     store.create_dir(base, recursive=True)
                     out = store.open_output_stream(f"{base}/{file}", compression=None)
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                member = packer.compress(_record(row)) + packer.flush()
+                member = packer.compress(_record(row, date)) + packer.flush()
                 out.write(member)
                 del row["payload"]
                 found.append(row | {"file": file, "offset": offset, "length": len(member)})
@@ -113,10 +116,15 @@ def _writer(folder: str):
     return run
 
 
-def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> DataFrame:
-    """Write one record per row into archives in ``folder`` and return the index, stored beside them."""
+def write(
+    pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, date: str = DATE
+) -> DataFrame:
+    """Write one record per row into archives in ``folder`` and return the index, stored beside them.
+
+    ``date`` is the capture time of all records, a parameter so that a rerun writes the same bytes.
+    """
     rows = classify(pages, key, url, payload, least)
-    index = rows.select("id", "url", "payload", "digest", "payload_bytes", "record_type", "refers_to").mapInArrow(_writer(f"{folder}/data"), INDEX)
+    index = rows.select("id", "url", "payload", "digest", "payload_bytes", "record_type", "refers_to").mapInArrow(_writer(f"{folder}/data", date), INDEX)
     index.write.parquet(f"{folder}/index")
     return pages.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
@@ -177,5 +185,9 @@ def _reader(folder: str):
 
 def fetch(index: DataFrame, folder: str) -> DataFrame:
     """The records of the given index rows, read back from the archives (columns of ``RECORD``)."""
-    reads = plan_reads(index)
+    total = index.agg(F.sum("length").alias("bytes"), F.count_distinct("file").alias("files")).first()
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-(total["bytes"] or 0) // READ_BYTES), min(total["files"], cores), 1)
+    # a number of its own, since the rows of the plan are tiny and would be merged into one task
+    reads = plan_reads(index).repartition(tasks)
     return reads.select("file", "start", "end", "parts").mapInArrow(_reader(f"{folder}/data"), RECORD)

@@ -567,3 +567,21 @@ def test_pipeline_edges(spark, sample):
             if k < len(corpus_pipeline.STAGES) - 1:
                 assert docs.columns == columns
         docs.count()
+
+
+# --- WARC reads are spread ---------------------------------------------------------------------------------------------
+
+
+def test_reads_are_spread_over_tasks_and_records_are_dated(spark):
+    folder = scratch_path(spark, "warc")
+    pages = spark.createDataFrame([(k, f"http://h/{k}", prose(50, k)) for k in range(40)], "page_id bigint, url string, html string").repartition(6)
+    index = warc.write(pages, folder, date="2024-05-06T07:08:09Z")
+    archives = index.select("file").distinct().count()
+    tasks = warc.fetch(index, folder).select(F.spark_partition_id().alias("t")).distinct().count()
+    assert archives > 2 and tasks >= min(archives, spark.sparkContext.defaultParallelism) - 1
+    assert warc.fetch(index, folder).rdd.getNumPartitions() >= min(archives, spark.sparkContext.defaultParallelism)
+    row = index.first()
+    with open(f"{folder.removeprefix('file://').removeprefix('file:')}/data/{row.file}", "rb") as archive:
+        archive.seek(row.offset)
+        assert warc.parse(archive.read(row.length))["warc-date"] == "2024-05-06T07:08:09Z"
+    assert warc.fetch(index.limit(0), folder).count() == 0
