@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,10 +19,10 @@ from oracle import r6
 from ripecast import constants as K
 from ripecast import functions as X
 from ripecast import schemas, session
-from ripecast.operators import boosting, kpis, lookup, model, policy, profile, quality
+from ripecast.operators import boosting, kpis, lookup, model, policy, profile, quality, tails
 from ripecast.operators.policy import FormulaScorer
 from ripecast.operators.timeseries import by_day, forward_fill, one_row_per_day, pct_change
-from ripecast.plans import dims, fact, features, staging
+from ripecast.plans import daily, dims, fact, features, staging
 from ripecast.plans.warehouse import Warehouse
 from ripecast.sources import deliveries, snapshots, tables
 
@@ -602,12 +603,53 @@ query(
 query("win_promo_recency", "lagged", f"SELECT {o.KEYS}, promo_in_last_7d FROM lagged")(_lagged("promo_in_last_7d"))
 
 
+def clean_sales(w: Warehouse) -> DataFrame:
+    return features.clean_from_sales(w.int_sales, w.dim_items, w.dim_stores)
+
+
+def stepped(w: Warehouse) -> tuple[list[DataFrame], DataFrame]:
+    """The features of all sales in three steps of days, each from the stored tail of the one before, and the last tail."""
+    rows, spark = clean_sales(w), w.raw("sales").sparkSession
+    stores = (K.SERIES, "date", features.LOOKBACK)
+
+    def stored(tail):
+        path = scratch(w, "tail")
+        tables.write_table(tail, path, None)
+        return tables.read_table(spark, path, f"{schemas.TABLES['features_clean']}, {tails.NTH} BIGINT")
+
+    day = F.col("date")
+    first, second, third = (rows.where(c) for c in (day <= RANGE[0], (day > RANGE[0]) & (day <= DAY), day > DAY))
+    done, tail = [features.features_enriched(first, w.max_rows)], stored(tails.start_tail(first, *stores, features.TIES))
+    for new in (second, third):
+        done.append(daily.features_after(tail, new, w.max_rows))
+        tail = stored(tails.move_tail(tail, new, *stores, features.TIES))
+    return done, tail
+
+
 @query("win_series_split", "lagged", f"SELECT {o.CLEAN}, {o.LAGS}, promo_in_last_7d FROM lagged WHERE nth > 28")
 def _(w):
     """The lag features with every series of more than 64 rows cut into chunks, as done for hot series."""
-    narrow = fact.priced_sales(w.int_sales, w.dim_items)
-    with_cluster = lookup.lookup(narrow, w.dim_stores, "store_nbr", "cluster")
-    return features.features_enriched(features.features_clean(with_cluster), max_rows=64)
+    return features.features_enriched(clean_sales(w), max_rows=64)
+
+
+query("win_series_tail", "enriched", f"SELECT {o.CLEAN}, {o.LAGS}, promo_in_last_7d FROM enriched")(
+    lambda w: reduce(DataFrame.unionByName, stepped(w)[0])
+)
+
+
+@query(
+    "win_series_tail_state",
+    "clean",
+    f"""
+    , placed AS (
+        SELECT {o.CLEAN}, row_number() OVER s AS nth, count(*) OVER (PARTITION BY store_nbr, item_nbr) AS n FROM clean
+        WINDOW s AS (PARTITION BY store_nbr, item_nbr ORDER BY date)
+    )
+    SELECT * EXCLUDE n FROM placed WHERE nth > n - 28
+    """,
+)
+def _(w):
+    return stepped(w)[1].withColumnRenamed(tails.NTH, "nth")
 
 
 @query("win_argmax", "choice", f"SELECT {o.CHOICE} FROM choice")

@@ -23,6 +23,12 @@ EXPAND_STEP = 100_000
 WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 
 
+def row_order(names: Sequence[str], keys: Sequence[str], order: str, ties: Sequence[str] = ()) -> list[Column]:
+    """One total order of the rows of a series, whichever way they are split: rows that agree in all of it are equal."""
+    rest = [c for c in names if c not in (*keys, order, *ties)]
+    return [F.col(order), _spread(ties), *[F.col(c) for c in (*ties, *rest)]]
+
+
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
@@ -49,8 +55,7 @@ def series_columns(
     if max_rows is None:
         return _plain(df, keys, columns, min_history, [order])
 
-    # one total order for both ways: rows that agree in all of it are equal
-    by = [order, _spread(ties), *ties, *[c for c in df.columns if c not in (*keys, order, *ties)]]
+    by = row_order(df.columns, keys, order, ties)
     hot = _hot_series(df, keys, max_rows)
     n_hot = hot.count()
     if n_hot == 0:

@@ -38,6 +38,8 @@ SERIES_FEATURES = [
     "promo_in_last_7d",
 ]
 LOOKBACK = 28
+# what tells rows of a series and date apart
+TIES = ["log_sales", "discount_pct"]
 
 
 def ids_as_text(df: DataFrame) -> DataFrame:
@@ -62,6 +64,11 @@ def features_clean(fact: DataFrame) -> DataFrame:
     )
 
 
+def clean_from_sales(sales: DataFrame, dim_items: DataFrame, dim_stores: DataFrame) -> DataFrame:
+    """The same rows straight from cleaned sales; a filter on days reaches the sales, as no window lies between."""
+    return features_clean(lookup(priced_sales(sales, dim_items), dim_stores, "store_nbr", "cluster"))
+
+
 def series_features(w: WindowSpec) -> dict[str, Column]:
     """Lags, rolling means and markdown recency; every frame ends before the current row."""
     lags = {f"lag{n}_log_sales": F.lag("log_sales", n).over(w) for n in (1, 7, 14, 28)}
@@ -81,7 +88,7 @@ def features_enriched(
         LOOKBACK,
         series_features,
         min_history=min_history,
-        ties=["log_sales", "discount_pct"],
+        ties=TIES,
         max_rows=max_rows,
     )
 

@@ -13,7 +13,7 @@ from ripecast import constants as K
 from ripecast import schemas
 from ripecast.operators import boosting, kpis, model, policy, quality
 from ripecast.operators.series import MAX_SERIES_ROWS
-from ripecast.plans import contracts, dims, fact, features, sales_checks, staging
+from ripecast.plans import contracts, daily, dims, fact, features, sales_checks, staging
 from ripecast.sources import files, snapshots, tables
 from ripecast.sources.deliveries import read_raw
 from ripecast.sources.sample_retail import SPLIT, SampleRetail
@@ -207,6 +207,13 @@ class Warehouse:
         self._stored = True
         return self
 
+    def feature_days(self, root: str, start: str | None, end: str) -> DataFrame:
+        """Store and return the features of the days from ``start`` to ``end`` from the tails under ``root``; of the sales
+        only these days are read. Without ``start`` the tables begin anew with everything up to ``end``."""
+        clean = features.clean_from_sales(self.int_sales, self.dim_items, self.dim_stores)
+        table = daily.DailyFeatures(clean.sparkSession, root, self.max_rows)
+        return table.start(clean, end) if start is None else table.append(clean, start, end)
+
     def _forget(self) -> None:
         """Drop what was derived or stored, so that tables are built from the raw side again."""
         self._stored = False

@@ -43,6 +43,7 @@ TABLES = {
         "cluster BIGINT, oil_price DOUBLE, oil_price_ma7 DOUBLE, oil_price_ma30 DOUBLE, pct_change_1d DOUBLE, "
         "pct_change_7d DOUBLE"
     ),
+    "features_clean": _CLEAN,
     "features_enriched": f"{_CLEAN}, {_SERIES}",
     "features_split": f"{_CLEAN}, {_SERIES}, split STRING",
     "scoring_frame": (

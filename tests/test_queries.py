@@ -44,6 +44,8 @@ CORE = [
     "vocab_fit",
     "win_lags",
     "win_series_split",
+    "win_series_tail",
+    "win_series_tail_state",
 ]
 NAMES = sorted(catalog.SQL) if os.environ.get("RIPECAST_ALL") else CORE
 
