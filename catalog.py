@@ -736,6 +736,22 @@ def _(w):
     return deliveries.read_csv(daily.sparkSession, path).select(F.col("date").cast("date"), *[F.col(c).cast("double") for c in daily.columns[1:]])
 
 
+@query(
+    "src_csv_split",
+    "",
+    """SELECT o_orderkey::VARCHAR AS id, '"' || o_orderpriority || '"' || chr(10) || chr(10) || o_orderstatus || ',' AS note,
+       o_orderdate::DATE::VARCHAR AS day FROM orders""",
+)
+def _(w):
+    """Orders written with quotes, commas and line breaks in a field, and read back by byte ranges."""
+    spark, path = w.raw("sales").sparkSession, scratch(w, "csv")
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit('"\n\n'), "o_orderstatus", F.lit(","))
+    orders = spark.read.parquet(f"{w.name}/orders.parquet")
+    rows = orders.select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    rows.write.options(**deliveries.CSV).csv(path)
+    return deliveries.read_csv(spark, path, columns="id note day", multi_line="split")
+
+
 @query("sink_native", "int_sales", f"SELECT id, {o.KEYS}, onpromotion, unit_sales, {r6('log_sales')} AS log_sales FROM int_sales")
 def _(w):
     path = scratch(w, "int-sales")

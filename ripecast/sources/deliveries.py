@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripecast import constants as K
+from ripecast.sources import split_csv
 from ripecast.sources.files import found
 
 # logical tables and the raw folder and delivered file each is read from; None means every file of the folder
@@ -51,12 +52,16 @@ def list_deliveries(spark: SparkSession, landing: str) -> DataFrame:
     return files.select("path", name.alias("file"), route(name).alias("table_name"), "length")
 
 
-def read_csv(spark: SparkSession, *paths: str, columns: str | None = None, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, *paths: str, columns: str | None = None, multi_line: bool | str = False) -> DataFrame:
     """CSV with a header; every column is text, so that later casts see the raw value.
 
     With ``columns`` the header must have exactly these names in this order; else the read fails rather than shift
-    values. ``multi_line`` allows line breaks inside quoted fields, at the price that a file is read by one task.
+    values. ``multi_line`` allows line breaks inside quoted fields: ``True`` reads a file in one task, ``"split"`` by
+    many, for files that have quotes in quoted fields only (see ``split_csv``).
     """
+    if multi_line == "split":
+        names = columns.split() if columns is not None else spark.read.options(**CSV).csv(list(paths)).columns
+        return split_csv.read(spark, paths, names, CSV)
     reader = spark.read.options(**CSV).option("multiLine", multi_line)
     if columns is not None:
         reader = reader.schema(_text_schema(columns)).option("enforceSchema", False)
@@ -67,7 +72,7 @@ def _text_schema(columns: str) -> str:
     return ", ".join(f"`{c}` STRING" for c in columns.split())
 
 
-def ingest(spark: SparkSession, path: str, raw: str, ingest_date: str, multi_line: bool = False) -> None:
+def ingest(spark: SparkSession, path: str, raw: str, ingest_date: str, multi_line: bool | str = False) -> None:
     """Copy one delivered file into the raw zone at <table>/ingest_date=<d>/source_file=<name>; a rerun replaces it."""
     name = path.rstrip("/").rsplit("/", 1)[-1]
     table = K.FILE_ROUTES.get(name, K.FILE_ROUTE_DEFAULT)
@@ -75,7 +80,7 @@ def ingest(spark: SparkSession, path: str, raw: str, ingest_date: str, multi_lin
     read_csv(spark, path, multi_line=multi_line).write.mode("overwrite").options(**CSV).csv(target)
 
 
-def read_raw(spark: SparkSession, raw: str, table: str, ingest_date: str, multi_line: bool = False) -> DataFrame:
+def read_raw(spark: SparkSession, raw: str, table: str, ingest_date: str, multi_line: bool | str = False) -> DataFrame:
     """One snapshot of one logical table, without rows where it was not delivered.
 
     The date and, where one is named, the file are part of the path, so nothing else is listed or opened.

@@ -39,6 +39,7 @@ CORE = [
     "policy_score",
     "safe_divide",
     "sink_idempotent_slice",
+    "src_csv_split",
     "tx_signals",
     "union_slices",
     "vocab_fit",
