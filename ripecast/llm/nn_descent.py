@@ -10,11 +10,11 @@ components, and this repeats until it finds none (a pair that both lists lack ha
 partner outside is a link if any is). Then the members of each component are compared with each other in tiles, which
 makes the link counts inside it exact.
 
-The result is audited: for at most ``AUDIT`` vectors, half of them among those with few links found, chosen by hash, all
-links are counted by brute force. A label passes when the mean share found per audited vector that has links is at least
+The result is audited: for at most ``AUDIT`` vectors of every label, half of them among those with few links found, chosen
+by hash, all links are counted by brute force. A label passes when the mean share found per audited vector that has links is at least
 ``RECALL``, over all of them and over those with at most ``K`` links. While one fails, another round adds new tables
 (also among the vectors with room in their lists only, so that large groups do not fill the blocks) and refines again.
-Labels that have not passed after ``ROUNDS`` rounds are compared in full, in tiles, with those no audited vector is of.
+Labels that have not passed after ``ROUNDS`` rounds are compared in full, in tiles.
 
 Every similarity is computed in double precision, and only pairs at ``threshold`` or more are links. Vectors take part in
 joins with one row per list entry; tiles and blocks bound what a task holds; counts, not pairs, leave the tiles.
@@ -45,7 +45,7 @@ BLOCK = 32
 ITERATIONS = 3
 STEADY = 0.01
 TILE = 512
-AUDIT = 500
+AUDIT = 50
 RECALL = 0.99
 ROUNDS = 5
 MOST_BITS = 30
@@ -266,49 +266,39 @@ def _linked(vectors: DataFrame, roots: DataFrame, threshold: float) -> tuple[Dat
     return counts, components(found.where(F.col("b").isNotNull()).select("a", "b"))
 
 
-def audit(vectors: DataFrame, counts: DataFrame, threshold: float, most: int = AUDIT) -> dict[str, float]:
-    """Recall by room, of a bounded, hash-chosen set of vectors; half of it has few links as found.
+def audit(vectors: DataFrame, counts: DataFrame, threshold: float, most: int = AUDIT) -> DataFrame:
+    """room, recall: of every room, over at most ``most`` of its vectors, chosen by hash; half have few links as found.
 
-    The lesser of the mean shares of links found: per vector that has links, and per vector that has at most ``K``. Each
-    vector is compared with all others of its room, block by block. Rooms with no vector in the set are left out.
+    The lesser of the mean shares of links found: per vector that has links, and per vector that has at most ``K``; 1 in a
+    room whose chosen vectors have none. The chosen vectors meet the others of their room in slices of about ``TILE``.
     """
-    found = vectors.select("id", "room", "vec").join(counts, "id", "left").withColumn("others", F.coalesce("others", F.lit(0)))
-    order = (F.xxhash64("id", F.lit(11)), F.col("id"))
-    few = found.where(F.col("others") <= K).orderBy(*order).limit(most // 2).collect()
-    more = found.orderBy(*order).limit(most - most // 2).collect()
-    chosen = {r["id"]: r for r in few + more}
-    rooms: dict[str, tuple[list[int], np.ndarray]] = {}
-    for room in {r["room"] for r in chosen.values()}:
-        own = [r for r in chosen.values() if r["room"] == room]
-        rooms[room] = ([r["id"] for r in own], _matrix(pa.array([bytes(r["vec"]) for r in own])))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = np.array(batch.column(1).to_pylist(), object)
-            hits = []
-            for room in set(names) & rooms.keys():
-                at = np.flatnonzero(names == room)
-                part = batch.take(pa.array(at))
-                ids, x = rooms[room]
-                hit = x @ _matrix(part.column(2)).T >= threshold
-                hit &= np.array(ids)[:, None] != part.column(0).to_numpy()[None, :]
-                hits += [(i, None, float(n)) for i, n in zip(ids, hit @ part.column(3).to_numpy())]
-            yield _rows(hits)
-
-    true = vectors.select("id", "room", "vec", "copies").mapInArrow(run, "a bigint, b bigint, sim double").groupBy("a").agg(F.sum("sim").alias("true"))
-    shares: dict[str, list[tuple[float, float]]] = {room: [] for room in rooms}
-    for r in true.where(F.col("true") > 0).collect():
-        shares[chosen[r["a"]]["room"]].append((r["true"], min(1.0, chosen[r["a"]]["others"] / r["true"])))
-    recall = {}
-    for room, each in shares.items():
-        means = [sum(part) / len(part) for part in ([s for _, s in each], [s for n, s in each if n <= K]) if part]
-        recall[room] = min(means, default=1.0)
-    return recall
-
-
-def _rest_whole(vectors: DataFrame, roots: DataFrame, passed: list[str]) -> DataFrame:
+    found = vectors.select("id", "room").join(counts, "id", "left").withColumn("others", F.coalesce("others", F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("room").orderBy(F.xxhash64("id", F.lit(11)), "id"))
+    few = found.where(F.col("others") <= K).withColumn("place", place).where(F.col("place") <= most // 2)
+    any_ = found.withColumn("place", place).where(F.col("place") <= most - most // 2)
+    chosen = store(few.unionByName(any_).select("id", "others").distinct(), "nn-audited")
+
+    sizes = vectors.groupBy("room").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("slices"))
+    rows = vectors.select("id", "room", "copies", "vec").join(sizes, "room")
+    low, high = F.lit(0).alias("low"), F.lit(1).alias("high")
+    rest = rows.select("room", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"), low, high, "id", F.lit(1).alias("tile"), "copies", "vec")
+    slices = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+    # chosen vectors under numbers of their own, below zero, beside themselves among the rest
+    probes = rows.join(chosen.select("id"), "id", "left_semi").select("room", slices, low, high, (-F.col("id") - 1).alias("id"), F.lit(0).alias("tile"), "copies", "vec")
+    group = F.concat_ws("/", "slice", "room").alias("group")
+    met = probes.unionByName(rest).select(group, "low", "high", "id", "tile", "copies", "vec")
+    met = met.repartition("group").sortWithinPartitions("group")
+    hits = met.mapInArrow(_tile_task(threshold), "a bigint, b bigint, sim double").where(F.col("b").isNull() & (F.col("a") < 0))
+    true = hits.groupBy((-F.col("a") - 1).alias("id")).agg(F.sum("sim").alias("met"))
+    judged = chosen.join(true, "id").join(vectors.select("id", "room", "copies"), "id").withColumn("true", F.col("met") - F.col("copies"))
+    share = F.least(F.lit(1.0), F.col("others") / F.col("true"))
+    means = [F.avg(F.when(condition, share)) for condition in (F.col("true") > 0, (F.col("true") > 0) & (F.col("true") <= K))]
+    return store(judged.groupBy("room").agg(F.coalesce(F.least(*means), F.lit(1.0)).alias("recall")), "nn-audit")
+
+
+def _rest_whole(vectors: DataFrame, roots: DataFrame, passed: DataFrame) -> DataFrame:
     """Roots, with every room that is not in ``passed`` as one part."""
-    rest = vectors.join(F.broadcast(vectors.sparkSession.createDataFrame([(room,) for room in passed], "room string")), "room", "left_anti")
+    rest = vectors.join(passed, "room", "left_anti")
     whole = rest.join(rest.groupBy("room").agg(F.min("id").alias("root")), "room").select(F.col("id").alias("vertex"), "root")
     return whole.unionByName(roots.join(whole, "vertex", "left_anti").select("vertex", "root"))
 
@@ -327,11 +317,11 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
         counts, roots = _linked(vectors, joined, threshold)
         counts = store(counts, "nn-counts")
         recall = audit(vectors, counts, threshold)
-        if all(share >= RECALL for share in recall.values()):
+        if recall.where(F.col("recall") < RECALL).isEmpty():
             break
         unfilled = vectors.join(_saturated(lists, threshold), "id", "left_anti")
     else:
-        passed = [room for room, share in recall.items() if share >= RECALL]
+        passed = recall.where(F.col("recall") >= RECALL).select("room")
         counts, roots = _linked(vectors, _rest_whole(vectors, joined, passed), threshold)
         counts = store(counts, "nn-counts")
     group = vectors.join(roots.select(F.col("vertex").alias("id"), "root"), "id", "left").join(counts, "id", "left")

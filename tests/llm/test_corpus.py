@@ -492,8 +492,9 @@ def test_vector_audit_counts_vectors_not_links(spark):
     vec = [(k, "r", np.array(v[1], "<f8").tobytes(), 1) for k, v in enumerate(rows)]
     vectors = spark.createDataFrame(vec, "id bigint, room string, vec binary, copies bigint")
     counts = lambda few: spark.createDataFrame([(k, int(n)) for k, n in enumerate(true) if n > (0 if few else 10)], "id bigint, others bigint")
-    assert nn_descent.audit(vectors, counts(True), 0.98) == {"r": 1.0}
-    assert nn_descent.audit(vectors, counts(False), 0.98)["r"] == 0.0
+    recall = lambda found: {r.room: r.recall for r in nn_descent.audit(vectors, found, 0.98).collect()}
+    assert recall(counts(True)) == {"r": 1.0}
+    assert recall(counts(False))["r"] == 0.0
 
 
 def test_vectors_whole_where_no_round_passes(spark, monkeypatch):
@@ -508,6 +509,27 @@ def test_vectors_whole_where_no_round_passes(spark, monkeypatch):
     assert {x.key: x.n_links for x in nn_descent.near_duplicates(table).collect()} == want
 
 
+def test_vector_audit_sees_every_label(spark, monkeypatch):
+    """2,000 labels of two vectors, few of them with a link, and a descent that finds none: all links are there."""
+    r = np.random.default_rng(12)
+    rows = []
+    for label in range(2000):
+        v = r.standard_normal(8)
+        w = v + 1e-3 if label % 400 == 7 else r.standard_normal(8)
+        rows += [(2 * label, v.tolist(), label), (2 * label + 1, w.tolist(), label)]
+    want = {k: 0 for k, _, _ in rows}
+    for label in range(2000):
+        a, b = np.array(rows[2 * label][1]), np.array(rows[2 * label + 1][1])
+        if a @ b / np.sqrt(a @ a * (b @ b)) >= 0.98:
+            want[2 * label] = want[2 * label + 1] = 1
+    assert 10 <= sum(want.values()) < 100
+    nothing = spark.createDataFrame([], "a bigint, b bigint, sim double, fresh boolean")
+    monkeypatch.setattr(nn_descent, "_descend", lambda *a, **b: nothing)
+    monkeypatch.setattr(nn_descent, "ROUNDS", 1)
+    found = nn_descent.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int"))
+    assert {x.key: x.n_links for x in found.collect()} == want
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 
