@@ -615,7 +615,7 @@ def stepped(w: Warehouse) -> tuple[list[DataFrame], DataFrame]:
     def stored(tail):
         path = scratch(w, "tail")
         tables.write_table(tail, path, None)
-        return tables.read_table(spark, path, f"{schemas.TABLES['features_clean']}, {tails.NTH} BIGINT")
+        return tables.read_table(spark, path, f"{schemas.CLEAN}, {tails.NTH} BIGINT")
 
     day = F.col("date")
     first, second, third = (rows.where(c) for c in (day <= RANGE[0], (day > RANGE[0]) & (day <= DAY), day > DAY))

@@ -44,7 +44,7 @@ class DailyFeatures:
             raise ValueError("at least one tail has to be kept")
         self.spark, self.max_rows, self.keep = spark, max_rows, keep
         self.features = snapshots.SliceTable(spark, f"{root}/features", schemas.TABLES["features_enriched"], "date", K.SERIES)
-        tail = f"{schemas.TABLES['features_clean']}, {tails.NTH} BIGINT, {AS_OF} DATE"
+        tail = f"{schemas.CLEAN}, {tails.NTH} BIGINT, {AS_OF} DATE"
         self.tails = snapshots.SliceTable(spark, f"{root}/tails", tail, AS_OF, K.SERIES)
 
     def read(self) -> DataFrame:

@@ -8,7 +8,7 @@ _SERIES = (
     "rm7_log_sales DOUBLE, rm28_log_sales DOUBLE, promo_in_last_7d BIGINT"
 )
 _CALENDAR = "dow BIGINT, month BIGINT, year BIGINT"
-_CLEAN = (
+CLEAN = (
     "date DATE, store_nbr STRING, item_nbr STRING, class STRING, cluster STRING, family STRING, unit_sales DOUBLE, "
     f"log_sales DOUBLE, base_price DOUBLE, discount_pct DOUBLE, effective_price DOUBLE, time_to_expiry BIGINT, {_CALENDAR}"
 )
@@ -43,9 +43,8 @@ TABLES = {
         "cluster BIGINT, oil_price DOUBLE, oil_price_ma7 DOUBLE, oil_price_ma30 DOUBLE, pct_change_1d DOUBLE, "
         "pct_change_7d DOUBLE"
     ),
-    "features_clean": _CLEAN,
-    "features_enriched": f"{_CLEAN}, {_SERIES}",
-    "features_split": f"{_CLEAN}, {_SERIES}, split STRING",
+    "features_enriched": f"{CLEAN}, {_SERIES}",
+    "features_split": f"{CLEAN}, {_SERIES}, split STRING",
     "scoring_frame": (
         f"{_KEYS}, base_price DOUBLE, time_to_expiry BIGINT, {_SERIES}, {_CALENDAR}, family STRING, class STRING, "
         "cluster STRING, store_nbr_cat STRING, baseline_discount_pct DOUBLE, baseline_effective_price DOUBLE, "

@@ -66,7 +66,7 @@ def clean_rows(spark, days=40, series_count=4, seed=1):
             date = start + dt.timedelta(n)
             log = None if rng.random() < 0.05 else rng.random() * 4
             rows.append((date, "1", str(s), "9", "3", "DAIRY", 2.0, log, 5.0, rng.choice([0.0, 0.3]), 4.0, 3, 1, 1, 2024))
-    return spark.createDataFrame(rows, schemas.TABLES["features_clean"])
+    return spark.createDataFrame(rows, schemas.CLEAN)
 
 
 def content(df):
