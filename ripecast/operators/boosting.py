@@ -1,9 +1,11 @@
 """Gradient-boosted regression trees, grown best leaf first from distributed histograms.
 
 Features are cut into at most 256 bins once. A tree then needs, for a node, the sum of gradients and the number of rows per
-feature and bin. One job sums them for many nodes at a time: tasks route their rows down the tree so far and count, one
-shuffle adds the counts up by node and feature, and every group finds its best split. Only the smaller child of a split
-is counted; its sibling is the parent less that. What reaches the driver is one candidate split per node and feature.
+feature and bin. A tree takes the bins and gradients of its sampled rows as blocks of arrays once. One job over the
+blocks sums for many nodes at a time: tasks route their rows down the tree so far and count, one shuffle adds the counts
+up by feature, and every feature finds its best splits. Only the smaller child of a split is counted; its sibling is the
+parent less that, whose counts lie in the same partition. What reaches the driver is one candidate split per node and
+feature. These jobs are RDD jobs of two stages: they are short, and planning and storing each cost more than its counting.
 
 Best first means that the open leaf of largest gain is split next until ``max_leaves``. A job per split would be too many,
 so each job looks ahead: it counts the children of all open nodes, the driver then splits as far as the known nodes
@@ -25,9 +27,10 @@ from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ripecast import constants as K
 from ripecast.operators import encoding
@@ -40,9 +43,7 @@ MISSING = -1.0
 ENCODED = [f"{c}_mean" for c in K.CATEGORICAL_FEATURES]
 INPUTS = [*K.NUMERIC_FEATURES, *ENCODED]
 _STATE = "id bigint, y double, is_valid boolean, bins binary, margin double"
-# a row per feature; arrays of 8-byte numbers, with a histogram per node in the order the driver knows
-_HISTOGRAM = "feature int, g binary, n binary"
-_SPLIT = f"{_HISTOGRAM}, gain binary, cut binary, left_n binary, all_g binary, all_n binary"
+_BLOCK = "gradient binary, bins binary"
 # tasks beyond this many are added up in groups before the last step
 FAN = 64
 
@@ -124,30 +125,43 @@ def _sampled(ids: np.ndarray, seed: int, share: float) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) < np.uint64(min(int(share * 2.0**64), (1 << 64) - 1))
 
 
-def _count_task(tree: tuple, slots: dict[int, int], features: list[int], width: int, scale: float, seed: int, share: float):
-    """Histograms of the nodes in ``slots`` over the training rows of a task that this round samples."""
+def _block_task(width: int, scale: float, seed: int, share: float):
+    """Integer gradients and bins of the training rows that this round samples, a row per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = len(slots) * BINS
-        g, n = np.zeros((len(features), size), np.int64), np.zeros((len(features), size), np.int64)
-        place = np.full(len(tree[0]), -1)
-        place[list(slots)] = list(slots.values())
         for batch in batches:
             y, margin = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("y", "margin"))
             used = ~np.asarray(batch.column(batch.schema.get_field_index("is_valid")))
             if share < 1.0:
                 used &= _sampled(np.asarray(batch.column(batch.schema.get_field_index("id"))), seed, share)
-            x = _bins(batch, width)[used]
+            parts = [np.rint((y - margin)[used] * scale), _bins(batch, width)[used]]
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in parts], names=["gradient", "bins"])
+
+    return run
+
+
+def _unpacked(width: int):
+    return lambda row: (np.frombuffer(row["gradient"]), np.frombuffer(row["bins"], np.uint8).reshape(-1, width))
+
+
+def _count_task(tree: tuple, slots: dict[int, int], features: list[int]):
+    """(place of the feature, histograms of the nodes in ``slots``, one after the other) over the blocks of a task."""
+
+    def run(blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        size = len(slots) * BINS
+        g, n = np.zeros((len(features), size), np.int64), np.zeros((len(features), size), np.int64)
+        place = np.full(len(tree[0]), -1)
+        place[list(slots)] = list(slots.values())
+        for gradient, x in blocks:
             slot = place[route(*tree, x)]
             hit = np.flatnonzero(slot >= 0)
-            gradient = np.rint((y - margin)[used][hit] * scale)
-            base, x = slot[hit] * BINS, x[hit]
+            gradient, base, x = gradient[hit], slot[hit] * BINS, x[hit]
             for k, f in enumerate(features):
                 at = base + x[:, f]
                 g[k] += np.bincount(at, gradient, size).astype(np.int64)
                 n[k] += np.bincount(at, minlength=size)
-        parts = [pa.array(features, pa.int32()), *(pa.array([x.tobytes() for x in a], pa.binary()) for a in (g, n))]
-        yield pa.RecordBatch.from_arrays(parts, names=["feature", "g", "n"])
+        for k in range(len(features)):
+            yield k, (g[k], n[k])
 
     return run
 
@@ -165,37 +179,51 @@ def best_cuts(g: np.ndarray, n: np.ndarray, scale: float, min_rows: int, smoothi
     return np.maximum(gain[rows, at], 0.0), at, left_n[rows, at]
 
 
-def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    g, n = (sum(np.frombuffer(v, np.int64) for v in table.column(c).to_pylist()) for c in ("g", "n"))
-    return g.reshape(-1, BINS), n.reshape(-1, BINS)
+def _sum(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return a[0] + b[0], a[1] + b[1]
+
+
+# partition functions; one object each, since partitions are told to agree by it
+def _by_feature(key: int) -> int:
+    return key
+
+
+def _by_group(key: tuple[int, int]) -> int:
+    return key[0] * FAN + key[1]
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    g, n = _summed(table)
-    return pa.table({"feature": table.column("feature").slice(0, 1), "g": pa.array([g.tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary())})
+def _added_up(counts: RDD, tasks: int) -> RDD:
+    """The sums by feature, in ``tasks`` partitions."""
+    if counts.getNumPartitions() > 2 * FAN:
+        dealt = counts.mapPartitionsWithIndex(lambda part, rows: (((k, part % FAN), v) for k, v in rows))
+        counts = dealt.reduceByKey(_sum, FAN * tasks, _by_group).map(lambda row: (row[0][0], row[1]))
+    return counts.reduceByKey(_sum, tasks, _by_feature)
 
 
-def _split_group(parents: list[tuple[int, int]], scale: float, min_rows: int, smoothing: float):
-    """One feature: partial histograms (job -1) are added up; siblings are the parents, found by job and place, less those.
+def _split_task(parents: list[tuple[int, int]], scale: float, min_rows: int, smoothing: float):
+    """Per feature: sums of the counted nodes (job -1); siblings are the parents, found by job and place, less those.
 
     Returns the histograms of all counted nodes, then of their siblings, with their best splits.
     """
 
-    def run(table: pa.Table) -> pa.Table:
-        job = np.asarray(table.column("job"))
-        g, n = _summed(table.filter(pa.array(job < 0)))
-        if parents:
-            kept = {int(j): _summed(table.filter(pa.array(job == j))) for j in np.unique(job[job >= 0])}
-            above = [np.stack([kept[j][c][at] for j, at in parents]) for c in (0, 1)]
-            g, n = np.concatenate([g, above[0] - g]), np.concatenate([n, above[1] - n])
-        gain, cut, left_n = best_cuts(g, n, scale, min_rows, smoothing)
-        found = [g, n, gain, cut.astype(np.int64), left_n, g.sum(1), n.sum(1)]
-        names = [part.split()[0] for part in _SPLIT.split(", ")][1:]
-        return pa.table({"feature": table.column("feature").slice(0, 1), **{c: pa.array([v.tobytes()], pa.binary()) for c, v in zip(names, found)}})
+    def run(rows: Iterator[tuple[int, tuple[int, np.ndarray, np.ndarray]]]) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray, tuple]]]:
+        by_feature: dict[int, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
+        for feature, (job, g, n) in rows:
+            by_feature.setdefault(feature, {})[job] = (g.reshape(-1, BINS), n.reshape(-1, BINS))
+        for feature, kept in by_feature.items():
+            g, n = kept[-1]
+            if parents:
+                above = [np.stack([kept[j][c][at] for j, at in parents]) for c in (0, 1)]
+                g, n = np.concatenate([g, above[0] - g]), np.concatenate([n, above[1] - n])
+            yield feature, (g, n, (*best_cuts(g, n, scale, min_rows, smoothing), g.sum(1), n.sum(1)))
 
     return run
 
 
+def _as_job(job: int):
+    return lambda found: (job, found[0], found[1])
+
+
 @dataclass
 class Node:
     """A node that has been counted: totals, and its best split with the numbers of its children once they are known."""
@@ -243,35 +271,28 @@ def grow(state: DataFrame, params: Params, round_: int, width: int, scale: float
     rng = np.random.default_rng((params.seed, round_))
     features = sorted(rng.permutation(width)[: max(1, round(width * params.feature_share))].tolist())
     nodes: dict[int, Node] = {}
-    held: list[DataFrame] = []
-    paths: list[str] = []
+    held: list[RDD] = []
     where: dict[int, tuple[int, int]] = {}
     depth, counted, siblings, above = {0: 0}, [0], [], []
     tree = tuple(np.array([v]) for v in (-1, 0, 0, 0))
-    spark = state.sparkSession
+    tasks = min(len(features), state.sparkSession.sparkContext.defaultParallelism)
+    block = _block_task(width, scale, params.seed * 1_000_003 + round_, params.row_share)
+    blocks = state.mapInArrow(block, _BLOCK).rdd.map(_unpacked(width)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         while True:
             slots = {k: s for s, k in enumerate(counted)}
-            task = _count_task(tree, slots, features, width, scale, params.seed * 1_000_003 + round_, params.row_share)
-            parts = state.mapInArrow(task, _HISTOGRAM)
-            if parts.rdd.getNumPartitions() > 2 * FAN:
-                dealt = parts.withColumn("part", F.spark_partition_id() % FAN)
-                parts = dealt.groupBy("feature", "part").applyInArrow(lambda t: _add_up(t), _HISTOGRAM)
-            parts = parts.withColumn("job", F.lit(-1))
+            parts = _added_up(blocks.mapPartitions(_count_task(tree, slots, features)), tasks).mapValues(lambda sums: (-1, *sums))
             parents = [where[k] for k in above]
+            # partitioned alike, so that no histogram moves again
             for j in sorted({j for j, _ in parents}):
-                parts = parts.unionByName(held[j].select("feature", "g", "n", F.lit(j).alias("job")))
-            found = parts.groupBy("feature").applyInArrow(_split_group(parents, scale, params.min_rows, params.smoothing), _SPLIT)
-            # stored, so that plans do not grow with the number of jobs
-            paths.append(_scratch(spark, "boosting-histograms"))
-            found.write.parquet(paths[-1])
-            held.append(spark.read.schema(_SPLIT).parquet(paths[-1]))
-            rows = held[-1].select("feature", "gain", "cut", "left_n", "all_g", "all_n").orderBy("feature").collect()
-            gain = np.stack([np.frombuffer(r["gain"]) for r in rows])
-            cut, left_n, all_g, all_n = (np.stack([np.frombuffer(r[c], np.int64) for r in rows]) for c in ("cut", "left_n", "all_g", "all_n"))
+                parts = parts.union(held[j].mapValues(_as_job(j)))
+            found = parts.mapPartitions(_split_task(parents, scale, params.min_rows, params.smoothing), True)
+            held.append(found.persist(StorageLevel.MEMORY_AND_DISK))
+            splits = [split for _, split in sorted(found.mapValues(lambda v: v[2]).collect(), key=lambda row: row[0])]
+            gain, cut, left_n, all_g, all_n = (np.stack(column) for column in zip(*splits))
             for at, k in enumerate([*counted, *siblings]):
                 f = int(gain[:, at].argmax())
-                nodes[k] = Node(depth[k], int(all_g[0, at]), int(all_n[0, at]), float(gain[f, at]), rows[f]["feature"], int(cut[f, at]), int(left_n[f, at]))
+                nodes[k] = Node(depth[k], int(all_g[0, at]), int(all_n[0, at]), float(gain[f, at]), features[f], int(cut[f, at]), int(left_n[f, at]))
                 where[k] = (len(held) - 1, at)
             order, whole = first_leaves(nodes, params)
             if whole:
@@ -288,8 +309,8 @@ def grow(state: DataFrame, params: Params, round_: int, width: int, scale: float
             known = {**nodes, **{k: Node(d, 0, 0, 0.0, 0, 0, 0) for k, d in depth.items() if k not in nodes}}
             tree = _arrays(known, {k for k, n in nodes.items() if n.children})
     finally:
-        for path in paths:
-            files.remove(spark, path)
+        for kept in (blocks, *held):
+            kept.unpersist()
     return _tree(nodes, order, params, scale)
 
 
@@ -421,7 +442,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-def _stored(df: DataFrame, name: str, schema: str, paths: list[str] | None = None) -> DataFrame:
+def _stored(df: DataFrame, name: str, schema: str | StructType, paths: list[str] | None = None) -> DataFrame:
     path = _scratch(df.sparkSession, name)
     df.write.parquet(path)
     if paths is not None:
@@ -429,8 +450,11 @@ def _stored(df: DataFrame, name: str, schema: str, paths: list[str] | None = Non
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def inputs(split: DataFrame, encodings: dict[str, encoding.Encoding] | None) -> tuple[DataFrame, dict[str, encoding.Encoding]]:
-    """id, y, is_valid and the feature array x of the train and valid rows; encodings are fitted where none are given."""
+def inputs(split: DataFrame, encodings: dict[str, encoding.Encoding] | None, paths: list[str]) -> tuple[DataFrame, dict[str, encoding.Encoding]]:
+    """id, y, is_valid and the feature array x of the train and valid rows; encodings are fitted where none are given.
+
+    Fitting reads the rows several times, so they are stored first, under a path that is added to ``paths``.
+    """
     rows = split.where(F.col("split").isin("train", "valid") & F.col(K.LABEL).isNotNull())
     fold = encoding.fold_of(*K.KEYS)
     rows = rows.select(
@@ -442,6 +466,7 @@ def inputs(split: DataFrame, encodings: dict[str, encoding.Encoding] | None) ->
         F.when(F.col("split") == "train", fold).otherwise(encoding.ALL).alias("_fold"),
     )
     if encodings is None:
+        rows = _stored(rows, "boosting-inputs", rows.schema, paths)
         train = rows.where(~F.col("_is_valid"))
         encodings = {c: encoding.fit(train, c, "_y", "_fold") for c in K.CATEGORICAL_FEATURES}
         for c, e in encodings.items():
@@ -489,9 +514,9 @@ def train(split: DataFrame, preset: str | Params = "leafwise", resume: Booster |
     if not checkpoint_dir(split.sparkSession):
         raise ValueError("training needs a shared folder in spark.checkpoint.dir")
     spark, width, paths = split.sparkSession, len(INPUTS), []
-    rows, encodings = inputs(split, resume.encodings if resume else None)
     state = None
     try:
+        rows, encodings = inputs(split, resume.encodings if resume else None, paths)
         rows = _stored(rows, "boosting-rows", "id bigint, y double, is_valid boolean, x array<double>", paths)
         if resume:
             model = replace(resume, params=params, trees=list(resume.trees), errors=list(resume.errors))

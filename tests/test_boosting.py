@@ -175,6 +175,24 @@ def test_training_keeps_model_metrics_and_importance(spark, sample, tmp_path):
     assert spark.read.parquet(f"{root}/leafwise/feature_importance").agg(F.sum("weight")).first()[0] == (fitted.trees[0].feature >= 0).sum()
 
 
+def test_growing_stores_nothing_and_encodings_are_fitted_on_stored_rows(split, monkeypatch):
+    named, read, grown = [], [], []
+    scratch, fit, grow = boosting._scratch, encoding.fit, boosting.grow
+    monkeypatch.setattr(boosting, "_scratch", lambda spark, name: named.append(name) or scratch(spark, name))
+    monkeypatch.setattr(encoding, "fit", lambda train, *a: read.append(train.inputFiles()) or fit(train, *a))
+
+    def spied(*a):
+        before = len(named)
+        tree = grow(*a)
+        grown.append(named[before:])
+        return tree
+
+    monkeypatch.setattr(boosting, "grow", spied)
+    boosting.train(split, "leafwise", **{**SMALL, "rounds": 1})
+    assert grown == [[]]
+    assert len(read) == len(K.CATEGORICAL_FEATURES) and all("boosting-inputs" in path for paths in read for path in paths)
+
+
 # --- encodings -------------------------------------------------------------------------------------------------------
 
 
