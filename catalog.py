@@ -904,10 +904,24 @@ def _(w):
 
 # Predicted values of trained models have no SQL twin; what can be told exactly about them is registered as *_exact.
 # A model is fitted once per session, folder and preset, and the queries that use it share it.
+# So are the features that models are fitted on and score: stored once, so that the order lines are read once for both.
 _MODELS: dict = {}
+_FEATURES: dict = {}
 PATIENCE = 5
 
 
+def stored(w: Warehouse) -> Warehouse:
+    """``w`` going on from its features as stored in the checkpoint folder."""
+    spark = w.raw("sales").sparkSession
+    key = (spark.sparkContext.applicationId, w.name)
+    if key not in _FEATURES:
+        path = scratch(w, "model-features")
+        w.features_split.write.parquet(path)
+        _FEATURES[key] = path
+    w.features_split = spark.read.schema(w.features_split.schema).parquet(_FEATURES[key])
+    return w
+
+
 def fitted(w: Warehouse, preset: str = "warehouse"):
     spark = w.raw("sales").sparkSession
     key = (spark.sparkContext.applicationId, w.name, preset)
@@ -915,14 +929,14 @@ def fitted(w: Warehouse, preset: str = "warehouse"):
         session.checkpoints(spark)
         if preset in boosting.PRESETS:
             # the sample's target is close to noise, so its best round comes early; the presets wait 50 and 100 rounds
-            _MODELS[key] = boosting.train(w.features_split, preset, patience=PATIENCE)
+            _MODELS[key] = boosting.train(stored(w).features_split, preset, patience=PATIENCE)
         else:
-            _MODELS[key] = model.train(w.features_split, preset)
+            _MODELS[key] = model.train(stored(w).features_split, preset)
     return _MODELS[key]
 
 
 def split_metrics(w: Warehouse, preset: str) -> DataFrame:
-    scored = model.predict(fitted(w, preset), w.features_split.where(F.col("split") != "train"))
+    scored = model.predict(fitted(w, preset), stored(w).features_split.where(F.col("split") != "train"))
     parts = [
         model.metrics(scored.where(F.col("split") == s)).select(F.lit(preset).alias("preset"), F.lit(s).alias("split"), "*")
         for s in ("valid", "test")
@@ -942,7 +956,7 @@ def _(w):
 
 @query("predict")
 def _(w):
-    test = w.features_split.where(F.col("split") == "test")
+    test = stored(w).features_split.where(F.col("split") == "test")
     return model.predict(fitted(w), test)
 
 
@@ -953,14 +967,14 @@ def _(w):
 
 @query("policy_sweep_model")
 def _(w):
-    return w.policy_eval(model.ModelScorer(fitted(w)))
+    return stored(w).policy_eval(model.ModelScorer(fitted(w)))
 
 
 def split_sizes(w: Warehouse, *presets: str) -> DataFrame:
     """Rows scored per split, and whether every score is a finite number."""
     parts = []
     for preset in presets:
-        scored = model.predict(fitted(w, preset), w.features_split.where((F.col("split") != "train") & F.col(K.LABEL).isNotNull()))
+        scored = model.predict(fitted(w, preset), stored(w).features_split.where((F.col("split") != "train") & F.col(K.LABEL).isNotNull()))
         good = F.col("predicted_unit_sales").isNotNull() & (F.abs("predicted_unit_sales") < float("inf"))
         parts.append(scored.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.every(good).alias("all_finite")).select(F.lit(preset).alias("preset"), "*"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -990,7 +1004,7 @@ def _(w):
     "SELECT date, store_nbr, item_nbr, unit_sales, split, true AS scored FROM split WHERE split = 'test'",
 )
 def _(w):
-    scored = model.predict(fitted(w), w.features_split.where(F.col("split") == "test"))
+    scored = model.predict(fitted(w), stored(w).features_split.where(F.col("split") == "test"))
     return scored.select(*K.KEYS, K.LABEL, "split", F.col("predicted_unit_sales").isNotNull().alias("scored"))
 
 
@@ -1013,7 +1027,7 @@ def _(w):
 )
 def _(w):
     scorer = model.ModelScorer(fitted(w))
-    swept = w.policy_eval(scorer)
+    swept = stored(w).policy_eval(scorer)
     scored = policy.score_candidates(policy.candidates(w.scoring_frame), scorer)
     best = scored.groupBy(*K.KEYS).agg(F.max(F.col("cand_effective_price") * F.col("pred_units")).alias("most"))
     return swept.join(best, K.KEYS).select(

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import catalog
 from ripecast import constants as K
 from ripecast.operators import boosting, lookup, model, policy
 from ripecast.plans.warehouse import Warehouse
@@ -132,3 +133,14 @@ def test_metrics_by_hand(spark):
     assert row.mean_squared_error == pytest.approx(10 / 3)
     assert row.median_absolute_error == 1.0
     assert row.r2_score == pytest.approx(1 - 10 / 8)
+
+
+def test_registered_models_are_fitted_on_and_score_stored_features(spark, sample, monkeypatch):
+    given = []
+    train, cut = model.train, dict(SMALL, maxIter=1)
+    monkeypatch.setattr(catalog, "_MODELS", {})
+    monkeypatch.setattr(model, "train", lambda rows, *a: given.append(rows.inputFiles()) or train(rows, *a, **cut))
+    scored = catalog.QUERIES["predict_exact"](spark, sample)
+    assert given and all("model-features" in path for path in (*given[0], *scored.inputFiles()))
+    plain = Warehouse.from_sample(spark, sample).features_split.where(F.col("split") == "test")
+    assert scored.count() == plain.count() and scored.select(*K.KEYS).exceptAll(plain.select(*K.KEYS)).isEmpty()
