@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
-from ripecast.sources import deliveries
+from ripecast.sources import deliveries, split_csv
 
 COLUMNS = "id name note"
 VALUES = ["", "plain", "two\nlines", 'a "quoted" word', "comma, here", "\n\n", "ends\n", '"', '""', "ünïcode\nß", "a\r\nb", "x" * 90, None]
@@ -99,3 +99,17 @@ def test_empty_lines_headers_and_errors(spark, tmp_path, ranges):
     (tmp_path / "open.csv").write_text('id,name,note\n1,"a,b\n2,c,d\n')
     with pytest.raises(PySparkException, match="inside a quoted field"):
         read("open.csv", columns=COLUMNS).collect()
+
+
+def test_lines_of_a_range_are_not_shuffled(spark, tmp_path):
+    write(tmp_path / "f.csv", made(7, 3))
+    records = split_csv.records(spark, [str(tmp_path / "f.csv")])
+    plan = records._jdf.queryExecution().optimizedPlan()
+    sorted_, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Window":
+            sorted_.append(node.output().toString())
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    # windows order ranges and the pieces at their edges, never lines
+    assert sorted_ and not any("_line" in columns for columns in sorted_)
