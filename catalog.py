@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -904,21 +905,19 @@ def _(w):
 
 # Predicted values of trained models have no SQL twin; what can be told exactly about them is registered as *_exact.
 # A model is fitted once per session, folder and preset, and the queries that use it share it.
-# So are the features that models are fitted on and score: stored once, so that the order lines are read once for both.
+# So are the features that models are fitted on and score: kept on the executors' disks, in the layout they are computed in
+# (sampled rows depend on it), so that the order lines are read once for both.
 _MODELS: dict = {}
 _FEATURES: dict = {}
 PATIENCE = 5
 
 
 def stored(w: Warehouse) -> Warehouse:
-    """``w`` going on from its features as stored in the checkpoint folder."""
-    spark = w.raw("sales").sparkSession
-    key = (spark.sparkContext.applicationId, w.name)
+    """``w`` going on from its features as kept for this session and folder."""
+    key = (w.raw("sales").sparkSession.sparkContext.applicationId, w.name)
     if key not in _FEATURES:
-        path = scratch(w, "model-features")
-        w.features_split.write.parquet(path)
-        _FEATURES[key] = path
-    w.features_split = spark.read.schema(w.features_split.schema).parquet(_FEATURES[key])
+        _FEATURES[key] = w.features_split.persist(StorageLevel.DISK_ONLY)
+    w.features_split = _FEATURES[key]
     return w
 
 

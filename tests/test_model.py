@@ -135,12 +135,15 @@ def test_metrics_by_hand(spark):
     assert row.r2_score == pytest.approx(1 - 10 / 8)
 
 
-def test_registered_models_are_fitted_on_and_score_stored_features(spark, sample, monkeypatch):
+def test_registered_models_are_fitted_on_and_score_features_computed_once(spark, sample, monkeypatch):
     given = []
+    kept = lambda df: "InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString()
+    monkeypatch.setattr(catalog, "_FEATURES", {})
     train, cut = model.train, dict(SMALL, maxIter=1)
     monkeypatch.setattr(catalog, "_MODELS", {})
-    monkeypatch.setattr(model, "train", lambda rows, *a: given.append(rows.inputFiles()) or train(rows, *a, **cut))
+    monkeypatch.setattr(model, "train", lambda rows, *a: given.append(kept(rows)) or train(rows, *a, **cut))
     scored = catalog.QUERIES["predict_exact"](spark, sample)
-    assert given and all("model-features" in path for path in (*given[0], *scored.inputFiles()))
+    assert given == [True] and kept(scored)
     plain = Warehouse.from_sample(spark, sample).features_split.where(F.col("split") == "test")
     assert scored.count() == plain.count() and scored.select(*K.KEYS).exceptAll(plain.select(*K.KEYS)).isEmpty()
+    catalog._FEATURES.popitem()[1].unpersist()
