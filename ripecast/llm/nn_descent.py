@@ -148,13 +148,13 @@ def _sign_task(seed: int):
         for batch in batches:
             codes = []
             directions: dict[int, np.ndarray] = {}
-            for v in batch.column(1).to_pylist():
+            for v in batch.column(2).to_pylist():
                 x = np.frombuffer(v, "<f8")
                 if len(x) not in directions:
                     directions[len(x)] = np.random.default_rng([seed, len(x)]).standard_normal((TABLES * MOST_BITS, len(x)))
                 signs = (directions[len(x)] @ (x / np.abs(x).max()) >= 0).reshape(TABLES, MOST_BITS)
                 codes.append((signs * weights).sum(axis=1).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.list_(pa.int64()))], names=["id", "codes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.list_(pa.int64()))], names=["id", "room", "codes"])
 
     return run
 
@@ -182,8 +182,7 @@ def _blocks(vectors: DataFrame, seed: int) -> DataFrame:
     """Groups (g1, g2, id): vectors of one label whose signs agree, in blocks of about ``BLOCK``."""
     sizes = vectors.groupBy("room").agg(F.count(F.lit(1)).alias("in_room"))
     bits = F.least(F.greatest(F.ceil(F.log2(F.col("in_room") / BLOCK)), F.lit(0)), F.lit(MOST_BITS)).cast("int")
-    codes = vectors.select("id", "vec").mapInArrow(_sign_task(seed), "id bigint, codes array<bigint>")
-    coded = vectors.select("id", "room").join(codes, "id").join(sizes, "room")
+    coded = vectors.select("id", "room", "vec").mapInArrow(_sign_task(seed), "id bigint, room string, codes array<bigint>").join(sizes, "room")
     each = coded.select("id", "room", bits.alias("bits"), F.posexplode("codes").alias("t", "code"))
     block = F.xxhash64("room", "t", F.expr("code % shiftleft(1L, bits)"))
     each = each.select("id", block.alias("g1"))
@@ -197,14 +196,13 @@ def _around(lists: DataFrame, seed: int) -> DataFrame:
 
     Only around vectors that a new list entry touches.
     """
-    touched = lists.where("fresh").select(F.col("a").alias("g1")).union(lists.where("fresh").select("b")).distinct()
-    back = lists.groupBy(F.col("b").alias("g1")).agg(F.count(F.lit(1)).alias("degree")).join(touched, "g1")
-    chunks = F.ceil(F.col("degree") / (2 * K))
-    into = lists.select(F.col("b").alias("g1"), F.col("a").alias("id")).join(back, "g1").select("g1", F.pmod(F.xxhash64("id", F.lit(seed)), chunks).alias("g2"), "id")
-    own = lists.select(F.col("a").alias("g1"), F.col("b").alias("id")).join(back.select("g1", chunks.alias("n")).unionByName(
-        touched.join(back.select("g1"), "g1", "left_anti").select("g1", F.lit(1).cast("bigint").alias("n"))), "g1")
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("g2")
-    return into.unionByName(own.select("g1", every, "id")).distinct()
+    ends = [F.struct(F.col(g).alias("g1"), F.col(m).alias("id"), F.lit(own).alias("own"), "fresh") for g, m, own in (("a", "b", True), ("b", "a", False))]
+    both = lists.select(F.inline(F.array(*ends)))
+    degrees = both.groupBy("g1").agg(F.max("fresh").alias("touched"), F.count(F.when(~F.col("own"), 1)).alias("degree")).where("touched")
+    met = both.drop("fresh").join(degrees.select("g1", F.greatest(F.ceil(F.col("degree") / (2 * K)), F.lit(1)).alias("n")), "g1")
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)
+    chunks = F.when(F.col("own"), every).otherwise(F.array(F.pmod(F.xxhash64("id", F.lit(seed)), F.col("n"))))
+    return met.select("g1", F.explode(chunks).alias("g2"), "id").repartition("g1", "g2").distinct()
 
 
 def _descend(vectors: DataFrame, lists: DataFrame | None, seed: int, inner: DataFrame | None = None, unfilled: DataFrame | None = None) -> DataFrame:
@@ -236,7 +234,6 @@ def _enlarged(vectors: DataFrame, lists: DataFrame, threshold: float, seed: int)
     """Roots of the components of list links and of the links that saturated lists lack."""
     links = lists.where(F.col("sim") >= threshold).select("a", "b")
     full = vectors.drop("part").join(_saturated(lists, threshold), "id")
-    inner = lists.join(full.select(F.col("id").alias("a")), "a", "left_semi").join(full.select(F.col("id").alias("b")), "b", "left_semi").select("a", "b", "sim")
     while True:
         roots = components(links)
         open_ = full.join(roots.select(F.col("vertex").alias("id"), F.col("root").alias("part")), "id")
@@ -244,8 +241,10 @@ def _enlarged(vectors: DataFrame, lists: DataFrame, threshold: float, seed: int)
         open_ = store(open_.join(several.select("room"), "room", "left_semi").select(*vectors.columns), "nn-saturated")
         if open_.isEmpty():
             return roots
-        ids = open_.select(F.col("id").alias("a"))
-        across = _descend(open_, None, seed, inner.join(ids, "a", "left_semi")).where(F.col("sim") >= threshold).select("a", "b")
+        inner = lists.select("a", "b", "sim")
+        for end in ("a", "b"):
+            inner = inner.join(open_.select(F.col("id").alias(end)), end, "left_semi")
+        across = _descend(open_, None, seed, store(inner.select("a", "b", "sim"), "nn-inner")).where(F.col("sim") >= threshold).select("a", "b")
         if across.isEmpty():
             return roots
         links = store(links.unionByName(across), "nn-across")

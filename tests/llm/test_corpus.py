@@ -509,6 +509,25 @@ def test_vectors_whole_where_no_round_passes(spark, monkeypatch):
     assert {x.key: x.n_links for x in nn_descent.near_duplicates(table).collect()} == want
 
 
+def test_descent_plans_stay_small(spark, monkeypatch):
+    """Every descent step, also of saturated vectors, is a plan of few exchanges: the driver keeps plans, not vectors."""
+    r = np.random.default_rng(13)
+    rows = two_clusters(12, "a", 0, r) + [(1000 + k, r.standard_normal(24).tolist(), "a") for k in range(100)]
+    plans = []
+    real = nn_descent.store
+
+    def planned(df, name):
+        if name == "nn-lists":
+            plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return real(df, name)
+
+    monkeypatch.setattr(nn_descent, "store", planned)
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    got = {x.key: x.n_links for x in nn_descent.near_duplicates(table).collect()}
+    assert [got[k] for k in range(24)] == [23] * 24
+    assert len(plans) >= 4 and max(plans) <= 12, plans
+
+
 def test_vector_audit_sees_every_label(spark, monkeypatch):
     """2,000 labels of two vectors, few of them with a link, and a descent that finds none: all links are there."""
     r = np.random.default_rng(12)
