@@ -909,7 +909,6 @@ def _(w):
 # (sampled rows depend on it), so that the order lines are read once for both.
 _MODELS: dict = {}
 _FEATURES: dict = {}
-PATIENCE = 5
 
 
 def stored(w: Warehouse) -> Warehouse:
@@ -927,8 +926,7 @@ def fitted(w: Warehouse, preset: str = "warehouse"):
     if key not in _MODELS:
         session.checkpoints(spark)
         if preset in boosting.PRESETS:
-            # the sample's target is close to noise, so its best round comes early; the presets wait 50 and 100 rounds
-            _MODELS[key] = boosting.train(stored(w).features_split, preset, patience=PATIENCE)
+            _MODELS[key] = boosting.train(stored(w).features_split, preset)
         else:
             _MODELS[key] = model.train(stored(w).features_split, preset)
     return _MODELS[key]

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +149,15 @@ def test_registered_models_are_fitted_on_and_score_features_computed_once(spark,
     plain = Warehouse.from_sample(spark, sample).features_split.where(F.col("split") == "test")
     assert scored.count() == plain.count() and scored.select(*K.KEYS).exceptAll(plain.select(*K.KEYS)).isEmpty()
     catalog._FEATURES.popitem()[1].unpersist()
+
+
+def test_registered_boosters_train_by_their_whole_presets(spark, sample, monkeypatch):
+    given = {}
+    monkeypatch.setattr(catalog, "_FEATURES", {})
+    monkeypatch.setattr(catalog, "_MODELS", {})
+    monkeypatch.setattr(boosting, "train", lambda rows, preset, **overrides: given.update({preset: dataclasses.replace(boosting.PRESETS[preset], **overrides)}))
+    for preset in boosting.PRESETS:
+        catalog.fitted(Warehouse.from_sample(spark, sample), preset)
+    catalog._FEATURES.popitem()[1].unpersist()
+    assert given == boosting.PRESETS
+    assert {k: (p.rounds, p.patience) for k, p in given.items()} == {"histogram": (1000, 50), "leafwise": (800, 100)}
