@@ -8,8 +8,10 @@ parent less that, whose counts lie in the same partition. What reaches the drive
 feature. These jobs are RDD jobs of two stages: they are short, and planning and storing each cost more than its counting.
 
 Best first means that the open leaf of largest gain is split next until ``max_leaves``. A job per split would be too many,
-so each job looks ahead: it counts the children of all open nodes, the driver then splits as far as the known nodes
-reach, and the next job goes on from there. The tree is the same as one grown a leaf at a time.
+so each job looks ahead: it counts the children of all open nodes that may still be split, the driver then splits as far
+as the known nodes reach, and the next job goes on from there. Nodes of up to ``NEAR`` rows are not counted level by
+level: when only they are open, one job deals their rows out, a task a node, and each task grows all that may come below
+its node. Sums are integers, so the tree is the same as one grown a leaf at a time.
 
 Gradients are summed as integers (scaled by a power of two that leaves room for all rows), so sums do not depend on
 how rows are dealt out, and trees repeat exactly. Each round goes on from the stored predictions of the one before: a round
@@ -46,6 +48,10 @@ _STATE = "id bigint, y double, is_valid boolean, bins binary, margin double"
 _BLOCK = "gradient binary, bins binary"
 # tasks beyond this many are added up in groups before the last step
 FAN = 64
+# a node of at most this many rows (about 50 bytes each) is grown in one task
+NEAR = 1 << 19
+# rows whose integer gradients, below 2^36 each, sum up exactly in a double
+EXACT = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -238,21 +244,116 @@ class Node:
     children: tuple[int, int] | None = None
 
 
-def first_leaves(nodes: dict[int, Node], params: Params) -> tuple[list[int], bool]:
-    """The nodes that best-first growth splits, in order, as far as counted nodes reach; and whether that is the whole tree."""
+def first_leaves(nodes: dict[int, Node], params: Params) -> tuple[list[int], list[int]]:
+    """The nodes that best-first growth splits, in order, and which of them have unknown children.
+
+    Unknown children are taken for leaves. Others would come earlier with them, not later, so a node that is not returned
+    is not split in the end.
+    """
     order, leaves = [], 1
     heap = [(-nodes[0].gain, 0)]
     while heap and leaves < params.max_leaves:
         gain, k = heapq.heappop(heap)
         if gain >= 0 or (params.max_depth and nodes[k].depth >= params.max_depth):
             continue
-        if nodes[k].children is None:
-            return order, False
         order.append(k)
         leaves += 1
-        for c in nodes[k].children:
+        for c in nodes[k].children or ():
             heapq.heappush(heap, (-nodes[c].gain, c))
-    return order, True
+    return order, [k for k in order if nodes[k].children is None]
+
+
+def _counts(gradient: np.ndarray, columns: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The histograms of every feature over some rows, as ``_count_task`` sums them."""
+    g, n = (np.zeros((len(columns), BINS), np.int64) for _ in range(2))
+    for start in range(0, len(rows), EXACT):
+        at = rows[start : start + EXACT]
+        weight = gradient[at]
+        for k, column in enumerate(columns):
+            bins = column[at]
+            g[k] += np.bincount(bins, weight, BINS).astype(np.int64)
+            n[k] += np.bincount(bins, minlength=BINS)
+    return g, n
+
+
+def subtree(gradient: np.ndarray, x: np.ndarray, features: list[int], depth: int, params: Params, scale: float) -> list[Node]:
+    """A node over these rows, and all below it that a tree of ``max_leaves`` may have; children are places in the list."""
+    columns, whole = np.ascontiguousarray(x[:, features].T), gradient.astype(np.int64)
+    nodes, open_, heap = [], {}, []
+
+    def splits(depth: int, n: int) -> bool:
+        return n >= 2 * max(params.min_rows, 1) and not (params.max_depth and depth >= params.max_depth)
+
+    def add(depth: int, rows: np.ndarray, counts: tuple[np.ndarray, np.ndarray] | None) -> int:
+        found = (0.0, 0, 0, 0)
+        if splits(depth, len(rows)):
+            gain, cut, left_n = best_cuts(*counts, scale, params.min_rows, params.smoothing)
+            f = int(gain.argmax())
+            found = float(gain[f]), features[f], int(cut[f]), int(left_n[f])
+            open_[len(nodes)] = f, rows, counts
+            heapq.heappush(heap, (-found[0], len(nodes)))
+        nodes.append(Node(depth, int(whole[rows].sum()), len(rows), *found))
+        return len(nodes) - 1
+
+    rows = np.arange(len(gradient))
+    add(depth, rows, _counts(gradient, columns, rows))
+    leaves = 1
+    while heap and leaves < params.max_leaves:
+        gain, k = heapq.heappop(heap)
+        if gain >= 0:
+            break
+        f, rows, counts = open_.pop(k)
+        goes_left = columns[f][rows] <= nodes[k].cut
+        parts, below, sums = (rows[goes_left], rows[~goes_left]), nodes[k].depth + 1, (None, None)
+        if splits(below, max(map(len, parts))):
+            less = int(len(parts[0]) > len(parts[1]))
+            small = _counts(gradient, columns, parts[less])
+            large = counts[0] - small[0], counts[1] - small[1]
+            sums = (large, small) if less else (small, large)
+        nodes[k].children = tuple(add(below, part, sums[side]) for side, part in enumerate(parts))
+        leaves += 1
+    return nodes
+
+
+def _deal_task(tree: tuple, slots: dict[int, int]):
+    """(slot, gradients and bins of its rows) of the nodes in ``slots``, in pieces of some blocks."""
+
+    def run(blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        place = np.full(len(tree[0]), -1)
+        place[list(slots)] = list(slots.values())
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def pieces():
+            slot, gradient, x = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(slot, kind="stable")
+            kinds, starts = np.unique(slot[order], return_index=True)
+            for s, at in zip(kinds.tolist(), np.split(order, starts[1:])):
+                if s >= 0:
+                    yield s, (gradient[at], x[at])
+
+        for gradient, x in blocks:
+            held.append((place[route(*tree, x)], gradient, x))
+            if sum(len(slot) for slot, _, _ in held) >= NEAR:
+                yield from pieces()
+                held.clear()
+        if held:
+            yield from pieces()
+
+    return run
+
+
+def _grow_task(depths: list[int], features: list[int], params: Params, scale: float):
+    """(slot, nodes of its subtree) for the one slot whose rows a task gets."""
+
+    def run(rows: Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]) -> Iterator[tuple[int, list[Node]]]:
+        by_slot: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for slot, piece in rows:
+            by_slot.setdefault(slot, []).append(piece)
+        for slot, pieces in by_slot.items():
+            gradient, x = (np.concatenate(c) for c in zip(*pieces))
+            yield slot, subtree(gradient, x, features, depths[slot], params, scale)
+
+    return run
 
 
 def _arrays(nodes: dict[int, Node], split: set[int]) -> tuple[np.ndarray, ...]:
@@ -266,48 +367,73 @@ def _arrays(nodes: dict[int, Node], split: set[int]) -> tuple[np.ndarray, ...]:
     return feature, cut, left, right
 
 
-def grow(state: DataFrame, params: Params, round_: int, width: int, scale: float) -> Tree:
-    """One tree on the gradients of ``state``, step size included in its values."""
+def grow(state: DataFrame, params: Params, round_: int, width: int, scale: float, rows: int | None = None) -> Tree:
+    """One tree on the gradients of ``state``, step size included in its values.
+
+    ``rows`` is the number of training rows, where it is known; a tree of few rows is then grown by a single job.
+    """
     rng = np.random.default_rng((params.seed, round_))
     features = sorted(rng.permutation(width)[: max(1, round(width * params.feature_share))].tolist())
     nodes: dict[int, Node] = {}
     held: list[RDD] = []
     where: dict[int, tuple[int, int]] = {}
-    depth, counted, siblings, above = {0: 0}, [0], [], []
-    tree = tuple(np.array([v]) for v in (-1, 0, 0, 0))
     tasks = min(len(features), state.sparkSession.sparkContext.defaultParallelism)
     block = _block_task(width, scale, params.seed * 1_000_003 + round_, params.row_share)
-    blocks = state.mapInArrow(block, _BLOCK).rdd.map(_unpacked(width)).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = state.mapInArrow(block, _BLOCK).rdd.map(_unpacked(width))
+
+    def splits_to(known: dict[int, Node]) -> tuple:
+        return _arrays(known, {k for k, n in known.items() if n.children})
+
+    def count(depth: dict[int, int], counted: list[int], siblings: list[int], above: list[int]) -> None:
+        """Adds the nodes in ``depth``; ``above`` are the parents of the counted ones and their siblings."""
+        tree = splits_to({**nodes, **{k: Node(d, 0, 0, 0.0, 0, 0, 0) for k, d in depth.items()}})
+        slots = {k: s for s, k in enumerate(counted)}
+        parts = _added_up(blocks.mapPartitions(_count_task(tree, slots, features)), tasks).mapValues(lambda sums: (-1, *sums))
+        parents = [where[k] for k in above]
+        # partitioned alike, so that no histogram moves again
+        for j in sorted({j for j, _ in parents}):
+            parts = parts.union(held[j].mapValues(_as_job(j)))
+        found = parts.mapPartitions(_split_task(parents, scale, params.min_rows, params.smoothing), True)
+        held.append(found.persist(StorageLevel.MEMORY_AND_DISK))
+        splits = [split for _, split in sorted(found.mapValues(lambda v: v[2]).collect(), key=lambda row: row[0])]
+        gain, cut, left_n, all_g, all_n = (np.stack(column) for column in zip(*splits))
+        for at, k in enumerate([*counted, *siblings]):
+            f = int(gain[:, at].argmax())
+            nodes[k] = Node(depth[k], int(all_g[0, at]), int(all_n[0, at]), float(gain[f, at]), features[f], int(cut[f, at]), int(left_n[f, at]))
+            where[k] = (len(held) - 1, at)
+
+    def finish(near: list[int]) -> None:
+        """Adds all nodes below ``near``, each grown in a task of its own."""
+        dealt = blocks.mapPartitions(_deal_task(splits_to(nodes), {k: s for s, k in enumerate(near)})).partitionBy(len(near), _by_feature)
+        found = dict(dealt.mapPartitions(_grow_task([nodes[k].depth for k in near], features, params, scale)).collect())
+        for slot, k in enumerate(near):
+            below = found[slot] if slot in found else subtree(np.zeros(0), np.zeros((0, width), np.uint8), features, nodes[k].depth, params, scale)
+            first = len(nodes)
+            number = lambda at: first + at - 1 if at else k  # noqa: B023, E731
+            for at, node in enumerate(below):
+                nodes[number(at)] = replace(node, children=node.children and tuple(map(number, node.children)))
+
     try:
-        while True:
-            slots = {k: s for s, k in enumerate(counted)}
-            parts = _added_up(blocks.mapPartitions(_count_task(tree, slots, features)), tasks).mapValues(lambda sums: (-1, *sums))
-            parents = [where[k] for k in above]
-            # partitioned alike, so that no histogram moves again
-            for j in sorted({j for j, _ in parents}):
-                parts = parts.union(held[j].mapValues(_as_job(j)))
-            found = parts.mapPartitions(_split_task(parents, scale, params.min_rows, params.smoothing), True)
-            held.append(found.persist(StorageLevel.MEMORY_AND_DISK))
-            splits = [split for _, split in sorted(found.mapValues(lambda v: v[2]).collect(), key=lambda row: row[0])]
-            gain, cut, left_n, all_g, all_n = (np.stack(column) for column in zip(*splits))
-            for at, k in enumerate([*counted, *siblings]):
-                f = int(gain[:, at].argmax())
-                nodes[k] = Node(depth[k], int(all_g[0, at]), int(all_n[0, at]), float(gain[f, at]), features[f], int(cut[f, at]), int(left_n[f, at]))
-                where[k] = (len(held) - 1, at)
-            order, whole = first_leaves(nodes, params)
-            if whole:
-                break
-            open_ = [k for k, n in nodes.items() if n.children is None and n.gain > 0 and not (params.max_depth and n.depth >= params.max_depth)]
-            counted, siblings, above = [], [], sorted(open_, key=lambda k: (-nodes[k].gain, k))[: params.max_leaves]
+        if rows is not None and rows <= NEAR:
+            nodes[0], unknown = Node(0, 0, rows, 0.0, 0, 0, 0), [0]
+        else:
+            blocks.persist(StorageLevel.MEMORY_AND_DISK)
+            count({0: 0}, [0], [], [])
+            _, unknown = first_leaves(nodes, params)
+        while above := sorted((k for k in unknown if nodes[k].n > NEAR), key=lambda k: (-nodes[k].gain, k)):
+            depth, counted, siblings = {}, [], []
             for k in above:
-                a = len(depth)
+                a = len(nodes) + len(depth)
                 nodes[k].children = (a, a + 1)
                 depth[a] = depth[a + 1] = nodes[k].depth + 1
                 less, more = (a, a + 1) if 2 * nodes[k].left_n <= nodes[k].n else (a + 1, a)
                 counted.append(less)
                 siblings.append(more)
-            known = {**nodes, **{k: Node(d, 0, 0, 0.0, 0, 0, 0) for k, d in depth.items() if k not in nodes}}
-            tree = _arrays(known, {k for k, n in nodes.items() if n.children})
+            count(depth, counted, siblings, above)
+            _, unknown = first_leaves(nodes, params)
+        if unknown:
+            finish(unknown)
+        order, _ = first_leaves(nodes, params)
     finally:
         for kept in (blocks, *held):
             kept.unpersist()
@@ -531,7 +657,7 @@ def train(split: DataFrame, preset: str | Params = "leafwise", resume: Booster |
         state = state.persist(StorageLevel.MEMORY_AND_DISK)
         most, _, n = _progress(state)
         while len(model.trees) < params.rounds and not _stopped(model.errors, params.patience):
-            tree = grow(state, params, len(model.trees), width, scale_for(most, n))
+            tree = grow(state, params, len(model.trees), width, scale_for(most, n), n)
             after = state.mapInArrow(_add_task([tree], width, None), _STATE)
             cut = (len(model.trees) + 1) % CUT == 0
             if cut:

@@ -80,6 +80,32 @@ def test_a_tree_equals_one_grown_a_leaf_at_a_time(spark, params):
         assert tree.value[k] == pytest.approx(params.step * mine.sum() / (len(mine) + params.smoothing), abs=1e-6)
 
 
+@pytest.mark.parametrize("params", [Params(max_leaves=40, min_rows=20), Params(max_leaves=64, max_depth=6, smoothing=1.0, row_share=0.8, feature_share=0.75)])
+def test_a_tree_is_the_same_whichever_of_its_nodes_are_grown_in_one_task(spark, monkeypatch, params):
+    r = np.random.default_rng(5)
+    x = r.integers(0, 40, (3000, 4)).astype(np.uint8)
+    rows = [(k, float(v), k % 9 == 0, x[k].tobytes(), 0.0) for k, v in enumerate(x[:, 0] % 7 + r.normal(size=3000))]
+    state = spark.createDataFrame(rows, boosting._STATE).repartition(3).persist()
+    counted, count = [], boosting._count_task
+    monkeypatch.setattr(boosting, "_count_task", lambda *a: counted.append(len(a[1])) or count(*a))
+    trees, levelled = [], []
+    for near in (0, 400, 3000):
+        monkeypatch.setattr(boosting, "NEAR", near)
+        counted.clear()
+        trees.append(boosting.grow(state, params, 0, 4, 2.0**20, 3000))
+        levelled.append(sum(counted))
+    state.unpersist()
+    assert levelled[0] > levelled[1] > levelled[2] == 0
+    assert (trees[0].feature < 0).sum() > 20
+    assert all((a == b).all() for t in trees[1:] for a, b in zip(vars(trees[0]).values(), vars(t).values()))
+
+
+def test_a_round_that_samples_no_row_adds_a_leaf_of_zero(spark):
+    state = spark.createDataFrame([(k, 1.0, False, b"ab", 0.0) for k in range(5)], boosting._STATE)
+    tree = boosting.grow(state, Params(row_share=0.0), 0, 2, 1.0, 5)
+    assert (tree.feature.tolist(), tree.value.tolist(), tree.rows.tolist()) == ([-1], [0.0], [0])
+
+
 def test_integer_gradients_leave_room():
     for most, n in ((1e-9, 10), (200.0, 10**10), (1e12, 3), (1.0, 1)):
         scale = boosting.scale_for(most, n)
